@@ -1,0 +1,6 @@
+"""Every registered query of the engine and its DuckDB equivalent."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE: dict = {}
