@@ -17,7 +17,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
 }
 
