@@ -17,6 +17,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.edit_embedding import fingerprint_rows
+
+    return fingerprint_rows(_table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillsieve.llm.minhash import near_duplicates
 
@@ -24,6 +30,7 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_edit_embedding": op1_edit_embedding,
     "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
 }
