@@ -62,9 +62,11 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert fingerprint_rows(docs.where("text = 'xyz'"), 2).first().near_next == 1.0
 
 
-def test_near_pairs_finds_edited_copies(spark):
+def test_near_pairs_against_all_pairs(spark):
     rng = np.random.default_rng(9)
-    base = ["".join(rng.choice(list("abcdefgh "), 2000)) for _ in range(10)]
-    rows = [(i, b) for i, b in enumerate(base)] + [(100 + i, b[:900] + "!" + b[900:]) for i, b in enumerate(base)] + [(200, base[0])]
-    got = {(r.leader, r.member) for r in near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), 0.4).collect()}
-    assert got <= {(i, 100 + i) for i in range(10)} and len(got) >= 8
+    base = ["".join(rng.choice(list("abcdefgh "), 2000)) for _ in range(12)]
+    rows = [(i, b) for i, b in enumerate(base)] + [(100 + i, b[:1700] + "!" + b[1701:]) for i, b in enumerate(base)] + [(200, base[0])]
+    prints = dict(zip([i for i, _ in rows], fingerprints([_codes(t) for _, t in rows])))
+    wanted = {(i, 100 + i) for i in range(12) if near(prints[i], prints[100 + i]) >= 0.8}
+    got = {(r.leader, r.member) for r in near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), 0.8).collect()}
+    assert got <= wanted and len(got) >= 0.9 * len(wanted) >= 5
