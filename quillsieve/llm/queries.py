@@ -23,6 +23,13 @@ def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_rows(_table(spark, sf_dir, "documents"))
 
 
+def op2_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.hashing import coded, top_k
+
+    codes = coded(_table(spark, sf_dir, "embeddings"))
+    return top_k(codes, codes.where("id % 100 = 0"), 10)
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillsieve.llm.chat import digests, examples
 
@@ -37,11 +44,39 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.warc import round_trip
+
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_embedding": op1_edit_embedding,
+    "op2_hashing": op2_hashing,
     "op3_chat": op3_chat,
     "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_hashing": """
+        with bits as (
+            select vec_id as id, list_sum(list_transform(range(1, 65), i -> case when embedding[i] > 0 and not isnan(embedding[i]) then (1::hugeint << (i - 1)::int) else 0::hugeint end))::hugeint as code
+            from embeddings where embedding is not null and vec_id is not null
+        ), halves as (select id, (code % 4294967296::hugeint)::bigint as lo, (code // 4294967296::hugeint)::bigint as hi from bits),
+        far as (
+            select q.id as query_id, n.id as neighbor_id, (bit_count(xor(q.lo, n.lo)) + bit_count(xor(q.hi, n.hi)))::bigint as distance
+            from halves q join halves n on q.id <> n.id where q.id % 100 = 0
+        ), ranked as (select *, row_number() over (partition by query_id order by distance, neighbor_id) as rank from far)
+        select query_id, rank, neighbor_id, distance from ranked where rank <= 10
+    """,
+    "op10_warc": """
+        with p as (
+            select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+        ), f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by 1)
+        select p.page_id, p.payload_bytes, p.payload_digest, case when f.first < p.page_id then 'revisit' else 'response' end as record_type,
+            case when f.first < p.page_id then f.first end as refers_to
+        from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >= 100
+    """,
+}
