@@ -167,8 +167,9 @@ def _is_record(window: _Window, position: int) -> bool:
 def records(file, size: int, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of the records that start in [start, end) of a seekable file."""
     window, position = _Window(file, size), start
-    while (position := window.find(position, end)) >= 0 and not _is_record(window, position):
-        position += 1
+    if start:  # an archive begins with a record; any other range has to find its first
+        while (position := window.find(position, end)) >= 0 and not _is_record(window, position):
+            position += 1
     while 0 <= position < min(end, size):
         record, after = window.inflate(position)
         parsed = _headers(record)
