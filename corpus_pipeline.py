@@ -1,12 +1,54 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read by the next.
+
+quality classifier -> line dedup -> MinHash near-dedup -> mixing -> packing.
+All stages but the last return the columns of ``documents``; each works on all
+that its predecessor kept.  The scorer, the sketches and the packing have no
+SQL form, so ``ORACLE_SQL`` is None and tests compare with plain Python.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillsieve.llm import linededup, minhash, mixing, packing, quality
 from quillsieve.plans.cut import written
 
-STAGES: list = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier keeps."""
+    judged = quality.scored(docs, quality.fit(docs), keep_columns=True)
+    return judged.where("quality_kept").select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the multi-line chunks that occur earlier in the corpus."""
+    return linededup.deduplicated(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(written(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens meet the target marginals."""
+    return mixing.sampled_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("minhash near-dedup", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 ORACLE_SQL = None
 
@@ -15,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillsieve.llm import mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +47,36 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.toxicity import fit, scored
+
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = fit(docs, labels.where(~held_out))
+    out = scored(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence_ids", "evidence_cosines")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.quality import fit, scored
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(docs, fit(docs))
+
+
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.linededup import line_deduplicated
+
+    return line_deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillsieve.llm.mixing import mixed
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(docs).select("doc.doc_id", "source", "lang", "topic", "tokens", "probability", "sampled")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillsieve.llm.warc import round_trip
 
@@ -56,6 +89,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_linededup": op8_linededup,
+    "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
 
@@ -71,6 +108,7 @@ ORACLE: dict[str, str] = {
         ), ranked as (select *, row_number() over (partition by query_id order by distance, neighbor_id) as rank from far)
         select query_id, rank, neighbor_id, distance from ranked where rank <= 10
     """,
+    "op9_mixing": mixing.oracle(),
     "op10_warc": """
         with p as (
             select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
