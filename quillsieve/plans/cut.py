@@ -31,9 +31,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back with its own schema."""
+def written(df: DataFrame, label: str, rows: int | None = None, per_task: int = 200_000) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back with its own schema.
+
+    ``rows``, where the caller has an upper bound, sizes the last stage by the
+    data: a small table is not written by as many tasks as a large shuffle has.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if rows is not None:
+        df = df.coalesce(max(8, -(-rows // per_task)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
