@@ -4,11 +4,13 @@ One scan gives every document the MinHash samples of its shingle set, the keys
 of its bands, and an odd sketch: the samples folded into a parity bitmap, so
 that the population count of two bitmaps' XOR estimates how many samples
 differ.  Documents with one and the same set are one class; classes meet in
-band buckets.  In a bucket every class is compared with one leader; buckets
-whose classes are not yet one component get further leaders and at last all
-pairs across components, so no pair that shares a band goes unexamined, and a
-group of k copies costs about k comparisons.  A pair whose sketches allow the
-similarity is confirmed on its full shingle sets.
+band buckets.  In a bucket every class is compared with one leader, so a group
+of k copies costs about k comparisons.  Classes of buckets that are not one
+component after that are joined exactly: with all shingles in one order,
+frequent ones last, two sets of the wanted similarity share a shingle in a
+short prefix of each, at positions that leave room for the overlap.  A pair
+is confirmed on its full shingle sets either way, so no pair that shares a
+band loses its link, and no bucket is expanded into all its pairs.
 
 Defined results: null, empty and blank texts have empty sets and link with
 nothing; equal texts share a class; rows without ``doc_id`` are kept and link
@@ -30,7 +32,7 @@ from quillsieve.plans.cut import written
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 BANDS = SAMPLES // ROWS
-LEADER_ROUNDS = 3
+ORDER_SAMPLE, FREQUENT = 2000, 50_000  # documents sampled for the order of shingles; shingles put last
 SMALL_ROWS = 1_000_000  # a candidate list of at most so many (id, leader) rows, 16 bytes each, is broadcast
 _MULTIPLIER = np.random.default_rng(0xB0B).integers(1, 2**63, SAMPLES, np.uint64) | np.uint64(1)
 _SALT = np.random.default_rng(0xCAFE).integers(1, 2**63, SAMPLES, np.uint64)
@@ -101,13 +103,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (leader, member) whose full shingle sets reach the similarity."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.unionByName(pairs.select("leader", F.col("leader").alias("member")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), F.col("text").cast("string").alias("text"))
+def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(leader, member, shingles) for ``wanted`` (leader, member): the member's full set, made where its text is."""
+    texts = docs.select(F.col("doc_id").alias("member"), "text")
     small = wanted.count() <= SMALL_ROWS
-    held = written(texts.join(F.broadcast(wanted) if small else wanted, "member").select("leader", "member", "text").mapInArrow(_sets, "leader long, member long, shingles array<long>"), "sets")
+    joined = texts.join(F.broadcast(wanted) if small else wanted, "member").select("leader", "member", "text")
+    return written(joined.mapInArrow(_sets, "leader long, member long, shingles array<long>"), "sets")
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (leader, member) whose full shingle sets reach the similarity, as edges (u, v)."""
+    wanted = written(pairs.unionByName(pairs.select("leader", F.col("leader").alias("member")).distinct()), "pairs")
+    held = _with_sets(docs, wanted)
     own = held.where("leader = member").select("leader", F.col("shingles").alias("own"))
     both = F.size(F.array_intersect("own", "shingles")).cast("long")
     return (
@@ -117,6 +124,61 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = batch.column(0)
+        token, n = np.unique(sets.flatten().to_numpy(zero_copy_only=False), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(token[n > 1]), pa.array(n[n > 1])], names=["token", "n"])
+
+
+def _prefixes(frequent: np.ndarray, percent: int):
+    """Rows (rep, size, token, at, probe): the shingles a set must share one of with any set similar enough.
+
+    The larger of two sets probes with size - ceil(t * size) + 1 shingles, the
+    smaller is found by size - ceil(2t / (1 + t) * size) + 1.
+    """
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                out: list[list] = [[], [], [], [], []]
+                for rep, group, tokens in zip(*(c.slice(lo, 200).to_pylist() for c in batch.columns)):
+                    tokens = np.sort(np.array(tokens, np.int64))
+                    late = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens if len(frequent) else np.zeros(len(tokens), bool)
+                    tokens, n = np.concatenate([tokens[~late], tokens[late]]), len(tokens)
+                    probe, index = n - -(-percent * n // 100) + 1, n - -(-2 * percent * n // (100 + percent)) + 1
+                    for k, length in ((1, probe), (0, index)):
+                        for column, value in zip(out, (np.full(length, rep), np.full(length, n), tokens[:length], np.arange(length), np.full(length, k))):
+                            column.append(value)
+                    del group
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["rep", "size", "token", "at", "probe"])
+
+    return ordered
+
+
+def _prefix_pairs(docs: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """All pairs (leader, member) across components of ``open_`` (rep, component) that can reach the similarity."""
+    sets = _with_sets(docs, open_.select(F.col("rep").alias("leader"), F.col("rep").alias("member")))
+    sets = sets.select(F.col("member").alias("rep"), F.lit(0).alias("none"), "shingles").dropDuplicates(["rep"])
+    sets = written(sets, "open-sets")
+    sampled = sets.orderBy(F.xxhash64("rep"), "rep").limit(ORDER_SAMPLE).select("shingles")
+    counted = sampled.mapInArrow(_counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 2")
+    frequent = np.array(sorted(r[0] for r in counted.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()), np.int64)
+    rows = sets.mapInArrow(_prefixes(frequent, percent), "rep long, size long, token long, at long, probe long")
+    rows = written(rows.join(_sized(open_), "rep"), "prefixes")
+    a = rows.where("probe = 1").select("token", F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("at").alias("pa"), F.col("component").alias("ca"))
+    b = rows.where("probe = 0").select("token", F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("at").alias("pb"), F.col("component").alias("cb"))
+    larger = "(sa > sb or (sa = sb and a > b))"
+    room = f"least(sa - pa, sb - pb) * {100 + percent} >= {percent} * (sa + sb)"
+    found = a.join(b.hint("merge"), ["token"]).where(f"ca <> cb and {larger} and sb * 100 >= {percent} * sa and {room}")
+    return found.select(F.least("a", "b").alias("leader"), F.greatest("a", "b").alias("member")).distinct()
+
+
+def _sized(small: DataFrame) -> DataFrame:
+    """``small`` for a join: to be broadcast only if it was counted to be small."""
+    return F.broadcast(small) if small.count() <= SMALL_ROWS else small
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -124,49 +186,32 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, bands array<long>, odd binary"), "signed")
+    total = signed.count()
     usable = signed.where("set_key is not null and doc_id is not null")
-    classes = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = written(usable.join(classes.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "bands", "odd"), "reps")
+    classes = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes", total)
+    reps = usable.join(classes.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "bands", "odd")
+    reps = written(reps, "reps", total, 50_000)
     bucketed = reps.select("rep", F.explode("bands").alias("key"))
-    shared = written(bucketed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("most")).where("leader <> most").select("key", "leader"), "leaders")
-    members = written(bucketed.join(shared, "key"), "buckets")
-    sketch = reps.select("rep", "odd")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        a, b = (sketch.select(F.col("rep").alias(x), F.col("odd").alias(f"odd_{x}")) for x in ("leader", "member"))
-        joined = pairs.join(a, "leader").join(b, "member").select("leader", "member", "odd_leader", "odd_member")
-        return joined.mapInArrow(_likely(percent / 100 - 0.27), "leader long, member long").distinct()
-
-    edges = _confirmed(source, likely(members.where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()), percent)
-    edges = written(edges.distinct(), "links")
-    for turn in range(LEADER_ROUNDS + 1):
-        label = components(edges)
-        label = written(label, "labels")
-        if not members.take(1):
-            break
-        named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        named = written(named, "named")
-        open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.when(F.col("rep") > F.col("leader"), F.col("rep"))).alias("next")).where("lo <> hi and next is not null")
-        open_ = written(open_.select("key", "next"), "open")
-        members = written(named.join(open_, "key"), "buckets")
-        if not members.take(1):
-            break
-        if turn < LEADER_ROUNDS:
-            lead = members.where("rep = next").select("key", F.col("component").alias("lead_component"))
-            pairs = members.join(written(lead, "lead"), "key").where("component <> lead_component and rep > leader")
-            pairs = pairs.select(F.col("next").alias("leader"), F.col("rep").alias("member")).distinct()
-            members = members.select("key", "rep", F.col("next").alias("leader"))
-        else:
-            rest = members.where("rep > leader").select("key", "rep", "component")
-            other = rest.select("key", F.col("rep").alias("member"), F.col("component").alias("other"))
-            pairs = rest.withColumnRenamed("rep", "leader").join(other, "key").where("leader < member and component <> other").select("leader", "member").distinct()
-        more = written(_confirmed(source, likely(pairs), percent), "links")
-        if more.take(1):
-            edges = written(edges.unionByName(more).distinct(), "links")
-        if turn == LEADER_ROUNDS:
-            label = written(components(edges), "labels")
-    by_set = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    by_set = written(by_set, "by_set")
+    shared = bucketed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("most")).where("leader <> most").select("key", "leader")
+    members = written(bucketed.join(written(shared, "leaders", total * BANDS), "key"), "buckets", total * BANDS, 1_000_000)
+
+    starred = members.where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()
+    a, b = (reps.select(F.col("rep").alias(x), F.col("odd").alias(f"odd_{x}")) for x in ("leader", "member"))
+    likely = starred.join(a, "leader").join(b, "member").select("leader", "member", "odd_leader", "odd_member")
+    likely = likely.mapInArrow(_likely(percent / 100 - 0.27), "leader long, member long").distinct()
+    edges = written(_confirmed(source, likely, percent).distinct(), "links")
+    label = written(components(edges).withColumnRenamed("node", "rep"), "labels", total)
+
+    named = members.join(label, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    named = written(named, "named", total * BANDS, 1_000_000)
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    open_ = written(named.join(written(mixed, "mixed", total * BANDS), "key").select("rep", "component").distinct(), "open", total)
+    more = written(_confirmed(source, _prefix_pairs(source, open_, percent), percent), "links")
+    # the new links join whole components
+    over = more.join(label.select(F.col("rep").alias("u"), F.col("component").alias("cu")), "u", "left").join(label.select(F.col("rep").alias("v"), F.col("component").alias("cv")), "v", "left")
+    over = components(over.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))).withColumnRenamed("component", "root")
+    flat = classes.join(label, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("node"))
+    by_set = written(flat.join(over, "node", "left").select("set_key", F.coalesce("root", "node").alias("component")), "by-set", total)
     named = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(by_set, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return named.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

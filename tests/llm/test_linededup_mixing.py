@@ -61,7 +61,7 @@ def _docs(spark):
 def test_mixing_equals_sql(spark):
     docs = _docs(spark)
     got = mixing.mixed(docs).select("doc.doc_id", "source", "lang", "topic", "tokens", "probability", "sampled").toPandas()
-    table = docs.drop("probability").toPandas()
+    table = docs.drop("probability").toArrow()
     con = duckdb.connect()
     con.register("documents", table)
     want = con.sql(mixing.oracle()).df()
