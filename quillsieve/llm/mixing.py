@@ -61,12 +61,12 @@ def _rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None, t
         else:
             marginal = cells.groupBy(d).agg(F.pow(F.sum("x").cast("double"), F.lit(temper[d])).alias("g"))
         total = marginal.agg(F.sum("g").alias("all"))
-        marginal = written(marginal.join(F.broadcast(total)).select(d, (F.col("g") / F.col("all")).alias(f"t_{d}")), "margin")
+        marginal = written(marginal.join(F.broadcast(total)).select(d, F.coalesce(F.try_divide("g", "all"), F.lit(0.0)).alias(f"t_{d}")), "margin")
         now = now.join(marginal, d)
     now = written(now, "raking")
     for _ in range(turns):
         for d in DIMENSIONS:
-            now = now.withColumn("w", F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d)))
+            now = now.withColumn("w", F.coalesce(F.try_divide(F.col("w") * F.col(f"t_{d}"), F.sum("w").over(Window.partitionBy(d))), F.lit(0.0)))
     return written(now.select(*DIMENSIONS, "x", "w"), "raked")
 
 
