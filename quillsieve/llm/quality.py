@@ -1,11 +1,16 @@
 """Operator 7: document quality from weak labels.
 
-Eight overlapping heuristic labellers vote low, good or abstain on every
+Six overlapping heuristic labellers vote low, good or abstain on every
 document.  Expectation-maximisation over the counts of vote patterns of ALL
 documents estimates how each labeller votes on low and on good documents and
-the share of low ones; that turns a vote pattern into a posterior.  The
-posteriors of a bounded sample (``SAMPLE`` documents by hash order) train a
+the share of low ones; that turns a vote pattern into a posterior.  Low
+documents are of several kinds, each seen by few labellers, which two classes
+alone would not tell from labellers' errors; as labellers vote low on gross
+marks only, the share of good documents on which one does so is held to
+``FALSE_ALARM``.  The posteriors of a bounded sample (``SAMPLE`` documents by hash order) train a
 logistic scorer on hashed words and word shapes, which scores every document.
+A document is rejected if the scorer and its posterior both call it low, so
+that clean documents of unusual form stay.
 
 Defined results: null, empty and blank texts have no words, get score 0 and are
 not kept; repeated rows score alike, whatever their id; a table without words
@@ -23,10 +28,10 @@ from pyspark.sql import functions as F
 
 from quillsieve.llm.words import _PLACE, _POWER, _VALUE, blocks, mix, word_hashes
 
-LABELLERS = ("upper", "symbols", "bare", "repeats", "distinct", "stops", "length", "pairs")
+LABELLERS = ("upper", "symbols", "bare", "repeats", "stops", "length")
 LOW, ABSTAIN, GOOD = 0, 1, 2
 SAMPLE, WORDS_DIM, SHAPES_DIM = 8000, 768, 256
-TURNS, THRESHOLD = 40, 0.5
+TURNS, THRESHOLD, FALSE_ALARM = 40, 0.5, 0.0005
 
 _KIND = np.full(256, 4, np.uint8)  # other bytes belong to letters outside ASCII
 for _b in range(128):
@@ -83,9 +88,8 @@ def votes(p: dict[str, np.ndarray]) -> np.ndarray:
     # labeller: low at or past the first bound, good at or past the second
     rules = {
         "upper": (p["upper"] >= 0.4, p["upper"] <= 0.02), "symbols": (p["symbols"] >= 0.15, p["symbols"] <= 0.005), "bare": (p["bare"] >= 0.12, p["bare"] <= 0.01),
-        "repeats": (p["repeats"] >= 0.2, p["repeats"] <= 0.02), "distinct": ((p["distinct"] <= 0.3) & (n >= 30), p["distinct"] >= 0.45),
-        "stops": ((p["stops"] >= 0.5) & (n >= 20), (p["stops"] >= 0.02) & (p["stops"] <= 0.3)), "length": ((p["length"] >= 14) | (p["length"] <= 2), (p["length"] >= 3.5) & (p["length"] <= 10)),
-        "pairs": ((p["pairs"] <= 0.5) & (n >= 30), p["pairs"] >= 0.85),
+        "repeats": ((p["repeats"] >= 0.2) | ((p["distinct"] <= 0.3) | (p["pairs"] <= 0.5)) & (n >= 30), (p["repeats"] <= 0.02) & (p["distinct"] >= 0.45) & (p["pairs"] >= 0.85)),
+        "stops": ((p["stops"] >= 0.5) & (n >= 20), (p["stops"] >= 0.02) & (p["stops"] < 0.5) | (n < 60)), "length": ((p["length"] >= 14) | (p["length"] <= 2), (p["length"] >= 3.5) & (p["length"] <= 10)),
     }
     for k, name in enumerate(LABELLERS):
         low, good = rules[name]
@@ -95,7 +99,7 @@ def votes(p: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit_labellers(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_labellers(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS, false_alarm: float = FALSE_ALARM) -> tuple[np.ndarray, np.ndarray, float]:
     """EM on vote patterns: (posterior of good by pattern, tables labeller x class x vote, share of good).
 
     It starts from the plain rule that any low vote means low; every table has
@@ -110,6 +114,8 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS)
             for c in (0, 1):
                 t = np.bincount(patterns[:, k], weight[c], 3) + 1 / 3
                 tables[k, c] = t / t.sum()
+            tables[k, 1, LOW] = min(tables[k, 1, LOW], false_alarm)
+            tables[k, 1] /= tables[k, 1].sum()
         each = np.log(tables[np.arange(patterns.shape[1])[None, :], :, patterns]).sum(1)
         logit = each[:, 1] - each[:, 0] + np.log(share / (1 - share))
         good = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
@@ -127,19 +133,24 @@ def features(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.log1p(100 * count / np.maximum(p["n"], 1)[:, None]).astype(np.float32)
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, turns: int = 300, ridge: float = 1e-4) -> np.ndarray:
+def fit_scorer(x: np.ndarray, y: np.ndarray, turns: int = 200, ridge: float = 1e-4) -> np.ndarray:
     """Logistic weights (bias last) for soft labels, the two classes weighing alike; plain gradient steps with momentum."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     scale = np.maximum(np.abs(x).max(0), 1e-9)
-    x /= scale
+    x = x / scale
     weight = y / max(y.sum(), 1e-9) + (1 - y) / max((1 - y).sum(), 1e-9)
-    weight /= weight.sum()
-    w, speed = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    rate = 4 / max(np.linalg.norm(x * np.sqrt(weight)[:, None], 2) ** 2, 1e-9)
+    weight = (weight / weight.sum()).astype(np.float32)
+    steep = np.ones(x.shape[1], np.float32)
+    for _ in range(30):  # the largest curvature, by power iteration
+        steep = x.T @ (weight * (x @ steep))
+        most = float(np.linalg.norm(steep))
+        steep /= max(most, 1e-9)
+    rate = np.float32(3 / max(most, 1e-9))
+    y, w, speed = y.astype(np.float32), np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
     for _ in range(turns):
-        ahead = w + 0.9 * speed
+        ahead = w + np.float32(0.9) * speed
         s = 1 / (1 + np.exp(-np.clip(x @ ahead, -50, 50)))
-        speed = 0.9 * speed - rate * (x.T @ (weight * (s - y)) + ridge * ahead)
+        speed = np.float32(0.9) * speed - rate * (x.T @ (weight * (s - y)) + np.float32(ridge) * ahead)
         w = w + speed
     return w / scale
 
@@ -214,4 +225,4 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_col
     seen = docs.withColumn("quality__", judge(F.col("text").cast("string")))
     columns = [F.col(f"`{c}`") for c in docs.columns] if keep_columns else [F.col("doc_id")]
     q = F.col("quality__")
-    return seen.select(*columns, q.votes.alias("quality_votes"), q.posterior.alias("quality_posterior"), q.score.alias("quality_score"), (q.score >= threshold).alias("quality_kept"))
+    return seen.select(*columns, q.votes.alias("quality_votes"), q.posterior.alias("quality_posterior"), q.score.alias("quality_score"), ((q.score >= threshold) | (q.posterior >= threshold)).alias("quality_kept"))

@@ -141,6 +141,8 @@ class BlockMaxIndex:
 
 def vote(who: np.ndarray, cosine: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Distance-weighted share of toxic neighbours; NaN without neighbours."""
+    if not len(toxic):
+        return np.full(len(who), np.nan)
     weight = np.where(who >= 0, cosine.astype(np.float64) ** 4, 0)
     total = weight.sum(1)
     return np.where(total > 0, (weight * toxic[who]).sum(1) / np.where(total > 0, total, 1), np.nan)

@@ -32,7 +32,7 @@ def test_em_recovers_labellers():
         low = np.where(truth, rng.random(20000) < false, rng.random(20000) < hit)
         v[:, k] = np.where(low, quality.LOW, quality.GOOD)
     patterns, inverse, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
-    good, tables, share = quality.fit_labellers(patterns, counts.astype(float))
+    good, tables, share = quality.fit_labellers(patterns, counts.astype(float), false_alarm=0.05)
     assert abs(share - 0.8) < 0.02
     assert abs(tables[0, 0, quality.LOW] - 0.9) < 0.03 and abs(tables[1, 0, quality.LOW] - 0.7) < 0.04
     assert ((good[inverse.ravel()] > 0.5) == truth).mean() > 0.95
