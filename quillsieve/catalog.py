@@ -326,15 +326,15 @@ _V1 = f"""{_FLAGS}, v1a as (select i.*, coalesce(n_boxes, 0) as n, f.* exclude (
       greatest(1e0, least(10e0, 10e0 - case when coalesce(n_boxes, 0) > 0 then 0e0 else 3e0 end - case when coalesce(n_boxes, 0) > 40 then 2e0 else 0e0 end
         - case when contains(reason, 'overlapping') then 2e0 else 0e0 end - case when contains(reason, 'cluster') then 1.5e0 else 0e0 end)) as annotation_quality
       from fx_index i left join flags f using (image_id) where status <> 'rejected'),
-    v1b as (select *, round(norm_blur * 0.4e0 + norm_exposure * 0.4e0 + (case when width >= 640 and height >= 640 then 10e0 else 5e0 end) * 0.2e0, 2) as image_quality from v1a),
-    v1 as (select *, round(least(10e0, greatest(1e0, image_quality * 0.4e0 + annotation_quality * 0.35e0 + yolo_agreement * 0.25e0)), 2) as overall from v1b),
+    v1b as (select *, round((norm_blur * 0.4e0 + norm_exposure * 0.4e0 + (case when width >= 640 and height >= 640 then 10e0 else 5e0 end) * 0.2e0)::varchar::decimal(38, 18), 2)::double as image_quality from v1a),
+    v1 as (select *, round(least(10e0, greatest(1e0, image_quality * 0.4e0 + annotation_quality * 0.35e0 + yolo_agreement * 0.25e0))::varchar::decimal(38, 18), 2)::double as overall from v1b),
     r1 as (select *, case when overall < 6 then 'rejected' when status = 'duplicate' then 'duplicate' when regexp_matches(lower(reason), 'flag|discrepancy|blurry|failed|leakage') then 'review' when overall >= 8 then 'accepted' else 'review' end as routed from v1)"""
 _V2 = f"""{_FLAGS}, v2a as (select i.*, f.* exclude (image_id), coalesce(has_clinical, false) as clinical, greatest(1e0, least(10e0, raw_blur / 10e0)) as norm_blur,
       greatest(1e0, 10e0 - abs(exposure_pct * 2.55e0 / 2.55e0 - 50e0) / 5e0) as norm_exposure, f1 * 10e0 as agreement,
       10e0 - case when has_overlap then 2e0 else 0e0 end - case when has_tiny then 1e0 else 0e0 end - case when has_problem_border then 2e0 else 0e0 end as annotation_quality
       from fx_index i left join flags f using (image_id) where not (status = 'duplicate' or (status = 'rejected' and contains(lower(reason), 'corruption')))),
-    v2b as (select *, round(norm_blur * 0.4e0 + norm_exposure * 0.4e0 + 2e0, 2) as image_quality from v2a),
-    v2 as (select *, round(least(10e0, greatest(1e0, image_quality * 0.4e0 + annotation_quality * 0.35e0 + agreement * 0.25e0)), 2) as overall from v2b),
+    v2b as (select *, round((norm_blur * 0.4e0 + norm_exposure * 0.4e0 + 2e0)::varchar::decimal(38, 18), 2)::double as image_quality from v2a),
+    v2 as (select *, round(least(10e0, greatest(1e0, image_quality * 0.4e0 + annotation_quality * 0.35e0 + agreement * 0.25e0))::varchar::decimal(38, 18), 2)::double as overall from v2b),
     w2 as (select *, concat_ws('; ', case when has_overlap then 'overlapping boxes' end, case when has_problem_border then 'problematic border' end, case when has_tiny then 'tiny boxes' end, case when clinical then 'clinical class' end,
       case when agreement < 5 then 'low agreement' end, case when norm_blur < 4 then 'blurry' end, case when norm_exposure < 6 then 'exposure' end) as warnings from v2),
     r2 as (select *, case when overall < 5 then 'rejected' when warnings <> '' then 'review' when overall >= 8 then 'accepted' else 'review' end as routed from w2)"""
@@ -413,7 +413,7 @@ def _(s):
     return review.rule_contributions(review.rule_flags(s.v1))
 
 
-@query("single_vs_multiple", f"""with {_RULES}, a as (select lower(reason) as t, list_filter(list_transform(range(1, 10), i -> case when r[i] then names[i] end), x -> x is not null) as active from rules where status = 'review')
+@query("single_vs_multiple", f"""with {_RULES}, a as (select lower(reason) as t, list_filter(list_transform(range(1, 10), lambda i: case when r[i] then names[i] end), lambda x: x is not null) as active from rules where status = 'review')
     select case when len(active) > 1 then 'Multiple reasons' when len(active) = 1 then active[1] when contains(t, 'below auto-accept') then 'Low score' when contains(t, 'yolo agreement') then 'YOLO disagreement'
       when contains(t, 'clinical class') or contains(t, 'contains class') then 'Clinical class review' when contains(t, 'overlap') then 'Annotation overlap' else 'Low score' end as review_reason, count(*) as images from a group by 1""")
 def _(s):
@@ -422,7 +422,7 @@ def _(s):
 
 _REASONS = f"""{_V1}, reasons as (select image_id, list_filter([case when has_clinical then 'Clinical_Review' end, case when missing_ratio >= 0.4e0 then 'Missing_Annotations' end,
     case when f1 < 0.5e0 or abs(n - yolo_box_count) > 5 then 'High_Model_Disagreement' end, case when mean_confidence > 0 and mean_confidence < 0.4e0 then 'Low_Model_Confidence' end, case when has_border then 'Border_Issues' end,
-    case when norm_blur < 4 or norm_exposure < 6 then 'Image_Quality' end], x -> x is not null) as active from r1 where status = 'review')"""
+    case when norm_blur < 4 or norm_exposure < 6 then 'Image_Quality' end], lambda x: x is not null) as active from r1 where status = 'review')"""
 
 
 @query("review_reasons", f"with {_REASONS} select image_id, coalesce(active[1], 'Image_Quality') as primary_reason, case when len(active) > 1 then array_to_string(active[2:], ',') else 'None' end as secondary_reasons from reasons")
@@ -513,7 +513,7 @@ def _(s):
     return dedup.earliest_master(s.images)
 
 
-_VEC = "vec as (select vec_id, list_sum(list_transform(range(1, 33), i -> case when embedding[i] > embedding[i % 64 + 1] then (1::bigint << (i - 1)::int) else 0 end))::bigint as lo, list_sum(list_transform(range(33, 65), i -> case when embedding[i] > embedding[i % 64 + 1] then (1::bigint << (i - 33)::int) else 0 end))::bigint as hi from embeddings)"
+_VEC = "vec as (select vec_id, list_sum(list_transform(range(1, 33), lambda i: case when embedding[i] > embedding[i % 64 + 1] then (1::bigint << (i - 1)::int) else 0 end))::bigint as lo, list_sum(list_transform(range(33, 65), lambda i: case when embedding[i] > embedding[i % 64 + 1] then (1::bigint << (i - 33)::int) else 0 end))::bigint as hi from embeddings)"
 
 
 @query("vector_dhash", f"with {_VEC} select vec_id, lo, hi from vec")
