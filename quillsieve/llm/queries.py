@@ -99,7 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_hashing": """
         with bits as (
-            select vec_id as id, list_sum(list_transform(range(1, 65), i -> case when embedding[i] > 0 and not isnan(embedding[i]) then (1::hugeint << (i - 1)::int) else 0::hugeint end))::hugeint as code
+            select vec_id as id, list_sum(list_transform(range(1, 65), lambda i: case when embedding[i] > 0 and not isnan(embedding[i]) then (1::hugeint << (i - 1)::int) else 0::hugeint end))::hugeint as code
             from embeddings where embedding is not null and vec_id is not null
         ), halves as (select id, (code % 4294967296::hugeint)::bigint as lo, (code // 4294967296::hugeint)::bigint as hi from bits),
         far as (
