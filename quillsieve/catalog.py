@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions import policy
 from quillsieve.functions.geometry import iou_sql
-from quillsieve.operators import agreement, audit, dedup, release, review, scoring, stats
+from quillsieve.operators import agreement, audit, dedup, pixels, release, review, scoring, stats
 from quillsieve.sources import fixtures as fx
+from quillsieve.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -290,6 +291,51 @@ def _(s):
     return stats.false_positive_rates(s.index)
 
 
+_V8 = "vec as (select vec_id, list_transform(embedding, lambda x: x::double) as p from embeddings)"
+
+
+def _lap(r: int, c: int) -> str:
+    mirror = lambda k: 1 if k < 0 else 6 if k > 7 else k
+    at = lambda i, j: f"p[{mirror(i) * 8 + mirror(j) + 1}]"
+    return f"{at(r - 1, c)} + {at(r + 1, c)} + {at(r, c - 1)} + {at(r, c + 1)} - {at(r, c)} * 4e0"
+
+
+@query("patch_quality", f"""with {_V8}, l as (select vec_id, p, [{", ".join(_lap(r, c) for r in range(8) for c in range(8))}] as l from vec)
+    select vec_id, round(list_var_pop(l), 5) as blur, round(list_avg(p), 5) as mean, round(list_stddev_pop(p), 5) as deviation from l""")
+def _(s):
+    out = pixels.patch_metrics(s.embeddings)
+    return out.select("vec_id", *[F.round(c, 5).alias(c) for c in ("blur", "mean", "deviation")])
+
+
+@query("label_text_parse", """select image_id, row_number() over (partition by image_id order by ann_seq) - 1 as ann_seq, class_idx::bigint as class_idx, round(xc, 6) as xc, round(w, 6) as w from fx_boxes where ann_seq <> 3""")
+def _(s):
+    line = F.concat_ws(" ", "class_idx", "xc", "yc", "w", F.when(F.col("ann_seq") == 3, F.lit("x")).otherwise(F.col("h").cast("string")))
+    texts = s.boxes.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("ann_seq", line.alias("line")))).alias("lines"))
+    texts = texts.select("image_id", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
+    out = readers.yolo_labels(texts, policy.CLASSES)
+    return _long(out.select("image_id", "ann_seq", "class_idx", F.round("xc", 6).alias("xc"), F.round("w", 6).alias("w")), "ann_seq", "class_idx")
+
+
+@query("voc_parse", "select image_id, (ann_seq - 1)::bigint as ann_seq, round(((xc - w / 2e0) * 640 + (xc + w / 2e0) * 640) / 2e0 / 640, 5) as xc, round(w, 5) as w from fx_boxes")
+def _(s):
+    x0, x1 = (F.col("xc") - F.col("w") / 2.0) * 640, (F.col("xc") + F.col("w") / 2.0) * 640
+    one = F.concat(*[F.lit("<object><name>"), F.col("class_idx").cast("string"), F.lit("</name><bndbox><xmin>"), x0.cast("string"), F.lit("</xmin><ymin>0</ymin><xmax>"), x1.cast("string"), F.lit("</xmax><ymax>64</ymax></bndbox></object>")])
+    texts = s.boxes.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("ann_seq", one.alias("x")))).alias("l"))
+    texts = texts.select("image_id", F.concat(F.lit("<annotation>"), F.array_join(F.transform("l", lambda v: v["x"]), ""), F.lit("</annotation>")).alias("text"))
+    return _long(readers.voc_labels(texts).select("image_id", "ann_seq", F.round("xc", 5).alias("xc"), F.round("w", 5).alias("w")), "ann_seq")
+
+
+@query("coco_parse", "select concat(image_id, '.jpg') as file_name, class_idx::varchar as class_name, count(*) as boxes, round(sum(w), 4) as sum_w from fx_boxes where image_id % 50 = 7 group by all")
+def _(s):
+    boxes = s.boxes.where("image_id % 50 = 7")  # one COCO document holds these images
+    doc = boxes.agg(F.to_json(F.struct(
+        F.array(*[F.struct(F.lit(i).alias("id"), F.lit(str(i)).alias("name")) for i in range(15)]).alias("categories"),
+        F.collect_set(F.struct(F.col("image_id").alias("id"), F.concat(F.lit("d/"), F.col("image_id").cast("string"), F.lit(".jpg")).alias("file_name"))).alias("images"),
+        F.collect_list(F.struct("image_id", F.col("class_idx").alias("category_id"), F.array((F.col("xc") - F.col("w") / 2.0) * 640, F.lit(0.0), F.col("w") * 640, F.col("h") * 640).alias("bbox"))).alias("annotations"),
+    )).alias("text"))
+    return readers.coco_labels(doc).groupBy("file_name", "class_name").agg(F.count("*").alias("boxes"), F.round(F.sum("w"), 4).alias("sum_w"))
+
+
 # --- agreement --------------------------------------------------------------------------------------------------
 
 
