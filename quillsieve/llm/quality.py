@@ -197,7 +197,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     patterns = code[:, None] // _CODES[None, :] % 3
     good, tables, share = fit_labellers(patterns, count.astype(np.float64))
     posterior[code] = good
-    some = docs.select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("r"), text).where("trim(text) <> ''").orderBy("r", "text").limit(sample).select("text")
+    # the sample's last hash first, so that only hashes are sorted and no text is moved
+    keyed = docs.select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("r"), text).where("trim(text) <> ''")
+    last = keyed.select("r").orderBy("r").limit(sample).agg(F.max("r")).first()[0]
+    some = keyed.where(F.col("r") <= F.lit(last)).select("text").limit(sample)
     got = some.mapInArrow(_sampled, "pattern long, x binary").collect()
     if not got:
         return Model(posterior, tables, share, None)
