@@ -8,8 +8,8 @@ many documents hold each term is counted over the whole table.
 
 The examples lie in an inverted index of blocks with the greatest weight of
 each term in each block.  A text's bound on a block is its product with those
-maxima; blocks are read in falling order of the bound until the k-th best exact
-cosine is no less than the next bound, so the k nearest are exact.  Their votes
+maxima; the blocks of the highest bounds are read first, then all whose bound
+reaches the k-th best cosine found, so the k nearest are exact.  Their votes
 are weighted by closeness; a monotone map fitted on the examples, each left
 out in turn and weighted back to the labelled rows' shares, makes the vote a
 probability.  The nearest examples are the evidence.
@@ -103,12 +103,13 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Examples in blocks, with each term's greatest weight in each block."""
 
-    def __init__(self, vectors: np.ndarray, block: int = BLOCK):
+    def __init__(self, vectors: np.ndarray, block: int = BLOCK, ahead: int = 4):
         some = np.flatnonzero(vectors.any(1)) if len(vectors) else np.zeros(0, np.int64)
         order = some[np.argsort(vectors[some].argmax(1), kind="stable")] if len(some) else some
         self.blocks = [(order[i : i + block], np.ascontiguousarray(vectors[order[i : i + block]].T)) for i in range(0, len(order), block)]
         self.most = np.stack([b.max(1) for _, b in self.blocks], 1) if self.blocks else np.zeros((vectors.shape[1], 0), np.float32)
-        self.size = len(order)
+        self.size, self.ahead, self.names = len(order), ahead, order
+        self.starts = np.minimum(np.arange(len(self.blocks) + 1) * block, self.size)
 
     def top(self, queries: np.ndarray, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Example numbers (-1: none) and cosines of the k nearest of each query row; ``without``: an example to leave out."""
@@ -117,24 +118,39 @@ class BlockMaxIndex:
         live = np.flatnonzero(queries.any(1))
         if not self.blocks or not len(live):
             return who, best
-        bound = queries @ self.most + np.float32(1e-5)
-        order = np.argsort(-bound, 1, kind="stable")
-        for turn in range(len(self.blocks)):
-            ahead = order[live, turn]
-            open_ = best[live, k - 1] < bound[live, ahead]
-            live, ahead = live[open_], ahead[open_]
-            if not len(live):
-                break
-            by = np.argsort(ahead, kind="stable")
-            for rows in np.split(by, np.flatnonzero(np.diff(ahead[by])) + 1):
-                q, (names, weights) = live[rows], self.blocks[ahead[rows[0]]]
-                cosine = queries[q] @ weights
-                name = np.broadcast_to(names, cosine.shape)
+        q = queries[live]
+        bound = q @ self.most + np.float32(1e-5)
+        score = np.full((len(live), self.size), -1, np.float32)
+        read = np.zeros(bound.shape, bool)
+
+        def evaluate(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                rows = np.flatnonzero(wanted[:, b])
+                score[rows, self.starts[b] : self.starts[b + 1]] = q[rows] @ self.blocks[b][1]
                 if without is not None:
-                    cosine = np.where(name == without[q][:, None], -1, cosine)
-                score, ids = np.hstack([best[q], cosine]), np.hstack([who[q], name])
-                pick = np.lexsort((ids, -score), axis=1)[:, :k]
-                best[q], who[q] = np.take_along_axis(score, pick, 1), np.take_along_axis(ids, pick, 1)
+                    own = self.blocks[b][0][None, :] == without[live[rows]][:, None]
+                    r, c = np.nonzero(own)
+                    score[rows[r], self.starts[b] + c] = -1
+            read[wanted] = True
+
+        def least() -> np.ndarray:
+            """Each query's k-th best cosine so far."""
+            return -np.partition(-score, k - 1, axis=1)[:, k - 1] if self.size >= k else np.full(len(score), -1, np.float32)
+
+        # the blocks of the highest bounds give the bar that the others' bounds must reach
+        some = min(self.ahead, len(self.blocks))
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, some - 1, axis=1)[:, :some], True, 1)
+        evaluate(first)
+        evaluate(~read & (bound >= np.maximum(least(), 0)[:, None]))
+        bar = np.maximum(least(), np.float32(1e-12))
+        row, column = np.nonzero(score >= bar[:, None])
+        value, name = score[row, column], self.names[column]
+        order = np.lexsort((name, -value, row))
+        row, value, name = row[order], value[order], name[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = rank < k
+        best[live[row[kept]], rank[kept]], who[live[row[kept]], rank[kept]] = value[kept], name[kept]
         who[best <= 0] = -1
         return who, np.maximum(best, 0)
 
