@@ -731,3 +731,43 @@ def _(s):
 @query("event_props", "select (props::json->>'k')::bigint as k, count(*) as events from events group by 1")
 def _(s):
     return s.events.select(F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("k").agg(F.count("*").alias("events"))
+
+
+@query("annotation_validity", "select count(*) as annotations, coalesce(sum(case when h > 0 then 1 else 0 end), 0)::bigint as valid from fx_boxes")
+def _(s):
+    return stats.validity(s.boxes.withColumn("is_valid", (F.col("h") > 0).cast("int")))
+
+
+@query("agreement_means", """with n as (select image_id, count(*) as n from fx_boxes group by 1)
+    select round(avg(case when status <> 'rejected' then f1 end), 6) as mean_f1, round(avg(case when status <> 'rejected' then missing_ratio end), 6) as mean_missing_ratio,
+      round(avg(case when status <> 'rejected' then mean_confidence end), 6) as mean_confidence, round(avg(abs(coalesce(n, 0) - yolo_box_count)), 6) as mean_count_difference from fx_index left join n using (image_id)""")
+def _(s):
+    counts = s.boxes.groupBy("image_id").agg(F.count("*").alias("n_boxes"))
+    return stats.agreement_means(s.index.join(counts, "image_id", "left"))
+
+
+@query("resolution_summary", "select dataset_id, sum(width * height)::bigint as bytes, trunc(avg(width))::bigint as mean_width, trunc(avg(height))::bigint as mean_height from fx_images group by 1")
+def _(s):
+    return stats.resolution_summary(s.images.withColumn("length", (F.col("width") * F.col("height")).cast("long")))
+
+
+@query("resolution_histogram", "select width::bigint as width, height::bigint as height, count(*) as images from fx_images group by all")
+def _(s):
+    return _long(stats.resolution_histogram(s.images), "width", "height")
+
+
+@query("gold_silver_union", f"with {_V2} select image_id, case when overall >= 9 then 'Gold' else 'Silver' end as band from r2 where routed = 'accepted'")
+def _(s):
+    routed = scoring.route_v2(s.v2).select("image_id", "band")
+    return routed.where("band = 'Gold'").unionByName(routed.where("band = 'Silver'"))
+
+
+@query("resume_unscored", "select image_id from fx_images where image_id % 4 <> 0")
+def _(s):
+    stored = s.index.select("image_id", F.when(F.col("image_id") % 4 == 0, F.col("mean_confidence")).alias("mean_confidence"))
+    return agreement.unscored(s.images.select("image_id"), stored)
+
+
+@query("random_sample")
+def _(s):
+    return stats.random_rows(s.images.select("image_id", "dataset_id"), 50, 42)

@@ -140,3 +140,31 @@ def retention(index: DataFrame, boxes: DataFrame) -> DataFrame:
     n = lambda *s: F.count_if(F.col("status").isin(*s))
     out = boxes.join(index.select("image_id", "status"), "image_id").agg(F.count("*").alias("original"), n("accepted").alias("accepted"), n("review").alias("review"), n("rejected", "duplicate").alias("removed"))
     return out.withColumn("retention_pct", F.round(F.col("accepted") * 100.0 / F.greatest(F.col("original"), F.lit(1)), 6))
+
+
+def validity(annotations: DataFrame) -> DataFrame:
+    """Annotations and valid ones (AGG-03)."""
+    return annotations.agg(F.count("*").alias("annotations"), F.coalesce(F.sum("is_valid"), F.lit(0)).cast("long").alias("valid"))
+
+
+def agreement_means(scores: DataFrame) -> DataFrame:
+    """Means over rows that are not rejected, missing values counting as 0, and the mean count difference over all rows (AGG-23)."""
+    live = F.col("status") != "rejected"
+    mean = lambda c: F.round(F.avg(F.when(live, F.coalesce(c, F.lit(0.0)))), 6)
+    apart = F.abs(F.coalesce("n_boxes", F.lit(0)) - F.coalesce("yolo_box_count", F.lit(0)))
+    return scores.agg(mean("f1").alias("mean_f1"), mean("missing_ratio").alias("mean_missing_ratio"), mean("mean_confidence").alias("mean_confidence"), F.round(F.avg(apart), 6).alias("mean_count_difference"))
+
+
+def resolution_summary(images: DataFrame, size: str = "length") -> DataFrame:
+    """Bytes and int-truncated mean resolution by dataset (AGG-24)."""
+    return images.groupBy("dataset_id").agg(F.sum(size).alias("bytes"), F.avg("width").cast("int").cast("long").alias("mean_width"), F.avg("height").cast("int").cast("long").alias("mean_height"))
+
+
+def resolution_histogram(images: DataFrame) -> DataFrame:
+    """Images by resolution (SRC-19)."""
+    return images.groupBy("width", "height").agg(F.count("*").alias("images"))
+
+
+def random_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
+    """n rows in seeded random order (SRT-05); each task keeps n."""
+    return rows.orderBy(F.rand(seed)).limit(n)

@@ -155,3 +155,15 @@ def test_pipeline_and_stream(spark, tmp_path):
         ingest.ingest(ingest.arrivals(spark, src, rows.schema), manifest, str(tmp_path / "cp")).awaitTermination()
         rows.limit(5).write.mode("append").parquet(src)
     assert spark.read.parquet(manifest).count() == rows.distinct().count()
+
+
+def test_command_line(spark, tmp_path):
+    from quillsieve import __main__ as cli
+    from quillsieve import catalog
+
+    s = catalog.Source(spark, "/root/testdata/sf0.001")
+    for name in ("index", "boxes", "preds", "datasets"):
+        getattr(s, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    for command in ("audit", "agreement", "near", "dashboard", "pipeline"):
+        cli.main([command, "--tables", str(tmp_path), "--output", f"{tmp_path}/out-{command}", "--skip", "licence"])
+        assert spark.read.parquet(f"{tmp_path}/out-{command}").count() > 0
