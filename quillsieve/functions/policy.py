@@ -91,7 +91,7 @@ def clinical_action(index: Column) -> Column:
 
 
 def missing(x: Column, default) -> Column:
-    """The reference's ``x or default``: zero counts as missing (TRAP-02)."""
+    """``x or default``: zero counts as missing (TRAP-02)."""
     return F.coalesce(F.nullif(x, F.lit(0)), F.lit(default))
 
 

@@ -48,8 +48,8 @@ def greedy_match(truth: DataFrame, preds: DataFrame, policy: Policy = DEFAULT) -
 def agreement_scores(matched: DataFrame) -> DataFrame:
     """Precision, recall, F1, ratios and the agreement score (DOM-52..56).
 
-    The ratios' names are inverted against the stored counts, as in the
-    reference: missing_ratio is of predictions, missing_lesions of labels.
+    The ratios' names are inverted against the stored counts, which is
+    kept: missing_ratio is of predictions, missing_lesions of labels.
     """
     share = lambda a, b: F.when(b > 0, a / F.nullif(b, F.lit(0))).otherwise(0.0)
     m, t, p = F.col("matches"), F.col("n_truth"), F.col("n_preds")
