@@ -236,6 +236,19 @@ def _holding(vocabulary: Vocabulary):
     return count
 
 
+def _counted(vocabulary: Vocabulary):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            for lo, hi in blocks(texts, 1_000_000):
+                counts = vocabulary.counts(texts[lo:hi])
+                at = [np.flatnonzero(c).astype(np.int32) for c in counts]
+                n = [c[a].astype(np.int32) for c, a in zip(counts, at)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], names=["doc_id", "toxic", "at", "n"])
+
+    return count
+
+
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> Model:
     """Fits on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic): pass only rows that may be learned from."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -245,9 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     ordered = lambda v, n: known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = ordered(1, positives).unionByName(ordered(0, negatives))  # a bounded number of ids
     examples = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = sorted(tuple(r) for r in examples.select("doc_id", "toxic", "text").distinct().collect())
     width = 0
-    if n_yes and n_no and rows:
+    if n_yes and n_no:
         spark = docs.sparkSession
         seen = examples.select("text", "toxic").mapInArrow(_terms_seen, "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
         a, b = F.col("yes") / F.lit(float(min(n_yes, positives))), F.col("no") / F.lit(float(min(n_no, negatives)))
@@ -258,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         seen.unpersist()
         terms = np.array(sorted({*telling, *common}), np.int64).view(np.uint64)
         width = len(terms)
-    if not width:
+    if not width:  # nothing to learn from
         return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), np.zeros((0, 0), np.float32), np.zeros(0), np.zeros(0, np.int64), share, share, np.zeros(0), np.zeros(0))
     vocabulary = Vocabulary(terms)
     held = spark.sparkContext.broadcast(vocabulary)
@@ -270,9 +282,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         else:
             df[term] = n
     idf = np.log((1 + total) / (1 + df)) + 0.05
-    texts = [t.encode() for _, _, t in rows]
-    toxic, names = np.array([y for _, y, _ in rows], np.float64), np.array([i for i, _, _ in rows], np.int64)
-    vectors = np.concatenate([weigh(vocabulary.counts(texts[lo:hi]), idf) for lo, hi in blocks(texts, 1_000_000)])
+    # only the examples' term counts come to the driver, not their texts
+    sparse = examples.select("doc_id", "toxic", "text").mapInArrow(lambda it: _counted(held.value)(it), "doc_id long, toxic int, at array<int>, n array<int>")
+    rows = sorted({(r.doc_id, r.toxic, tuple(r["at"]), tuple(r["n"])) for r in sparse.collect()})
+    toxic, names = np.array([r[1] for r in rows], np.float64), np.array([r[0] for r in rows], np.int64)
+    counts = np.zeros((len(rows), width), np.int32)
+    for i, (_, _, at, n) in enumerate(rows):
+        counts[i, list(at)] = n
+    vectors = weigh(counts, idf)
     weight = np.where(toxic > 0, n_yes / max(1, toxic.sum()), n_no / max(1, (1 - toxic).sum()))
     index, v = BlockMaxIndex(vectors), np.full(len(rows), np.nan)
     for lo in range(0, len(rows), 500):
