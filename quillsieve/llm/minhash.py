@@ -4,8 +4,9 @@ One scan gives every document the MinHash samples of its shingle set, the keys
 of its bands, and an odd sketch: the samples folded into a parity bitmap, so
 that the population count of two bitmaps' XOR estimates how many samples
 differ.  Documents with one and the same set are one class; classes meet in
-band buckets.  In a bucket every class is compared with one leader, so a group
-of k copies costs about k comparisons.  Classes of buckets that are not one
+band buckets.  In a bucket every class is compared with one leader, the member
+that meets the most classes in all its buckets, so a group of k copies costs
+about k comparisons and most copies link to its centre.  Classes of buckets that are not one
 component after that are joined exactly: with all shingles in one order,
 frequent ones last, two sets of the wanted similarity share a shingle in a
 short prefix of each, at positions that leave room for the overlap.  A pair
@@ -192,8 +193,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     reps = usable.join(classes.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "bands", "odd")
     reps = written(reps, "reps", total, 50_000)
     bucketed = reps.select("rep", F.explode("bands").alias("key"))
-    shared = bucketed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("most")).where("leader <> most").select("key", "leader")
-    members = written(bucketed.join(written(shared, "leaders", total * BANDS), "key"), "buckets", total * BANDS, 1_000_000)
+    shared = bucketed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(bucketed.join(written(shared, "shared", total * BANDS), "key"), "buckets", total * BANDS, 1_000_000)
+    # a bucket's leader is the member that meets the most others in all its buckets: the centre of a group of copies
+    met = written(members.groupBy("rep").agg(F.sum("n").alias("met")), "met", total)
+    leaders = members.join(met, "rep").groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("least"))).alias("top"))
+    leaders = written(leaders.select("key", (-F.col("top.least")).alias("leader")), "leaders", total * BANDS)
+    members = members.join(leaders, "key").select("key", "rep", "leader")
 
     starred = members.where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()
     a, b = (reps.select(F.col("rep").alias(x), F.col("odd").alias(f"odd_{x}")) for x in ("leader", "member"))
