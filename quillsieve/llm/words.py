@@ -65,12 +65,12 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
     return out
 
 
-def blocks(texts: list[bytes], limit: int = 2_000_000):
-    """Ranges of ``texts`` of about ``limit`` bytes."""
+def blocks(texts: list[bytes], limit: int = 2_000_000, rows: int = 1000):
+    """Ranges of ``texts`` of about ``limit`` bytes and at most ``rows`` texts."""
     start = total = 0
     for i, t in enumerate(texts):
         total += len(t)
-        if total >= limit:
+        if total >= limit or i + 1 - start >= rows:
             yield start, i + 1
             start, total = i + 1, 0
     if start < len(texts):
