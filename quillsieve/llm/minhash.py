@@ -7,8 +7,8 @@ differ.  Documents with one and the same set are one class; classes meet in
 band buckets.  In a bucket every class is compared with one leader, the member
 that meets the most classes in all its buckets, so a group of k copies costs
 about k comparisons and most copies link to its centre.  Classes of buckets that are not one
-component after that are joined exactly: with all shingles in one order,
-frequent ones last, two sets of the wanted similarity share a shingle in a
+component after that are joined exactly: with all shingles in one order, rare
+ones first, two sets of the wanted similarity share a shingle in a
 short prefix of each, at positions that leave room for the overlap.  A pair
 is confirmed on its full shingle sets either way, so no pair that shares a
 band loses its link, and no bucket is expanded into all its pairs.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsieve.plans.components import components
@@ -33,7 +33,7 @@ from quillsieve.plans.cut import written
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 BANDS = SAMPLES // ROWS
-ORDER_SAMPLE, FREQUENT = 2000, 50_000  # documents sampled for the order of shingles; shingles put last
+SLACK = 0.27  # sketches drop only pairs estimated this far below the similarity, five standard deviations
 SMALL_ROWS = 1_000_000  # a candidate list of at most so many (id, leader) rows, 16 bytes each, is broadcast
 _MULTIPLIER = np.random.default_rng(0xB0B).integers(1, 2**63, SAMPLES, np.uint64) | np.uint64(1)
 _SALT = np.random.default_rng(0xCAFE).integers(1, 2**63, SAMPLES, np.uint64)
@@ -125,54 +125,37 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = batch.column(0)
-        token, n = np.unique(sets.flatten().to_numpy(zero_copy_only=False), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(token[n > 1]), pa.array(n[n > 1])], names=["token", "n"])
-
+def _prefix_pairs(docs: DataFrame, open_: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """All pairs (leader, member) across components of ``open_`` (rep, component) that can reach the similarity.
 
-def _prefixes(frequent: np.ndarray, percent: int):
-    """Rows (rep, size, token, at, probe): the shingles a set must share one of with any set similar enough.
-
-    The larger of two sets probes with size - ceil(t * size) + 1 shingles, the
-    smaller is found by size - ceil(2t / (1 + t) * size) + 1.
+    A set's shingles are ordered by how many open sets hold them.  The larger
+    of two similar sets shares one of its first size - ceil(t * size) + 1 with
+    the smaller one's first size - ceil(2t / (1 + t) * size) + 1, at places
+    that leave room for the overlap; shingles of one set only, which come
+    first, are counted but never joined.  The odd sketches are part of the
+    join's condition.
     """
-    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                out: list[list] = [[], [], [], [], []]
-                for rep, group, tokens in zip(*(c.slice(lo, 200).to_pylist() for c in batch.columns)):
-                    tokens = np.sort(np.array(tokens, np.int64))
-                    late = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens if len(frequent) else np.zeros(len(tokens), bool)
-                    tokens, n = np.concatenate([tokens[~late], tokens[late]]), len(tokens)
-                    probe, index = n - -(-percent * n // 100) + 1, n - -(-2 * percent * n // (100 + percent)) + 1
-                    for k, length in ((1, probe), (0, index)):
-                        for column, value in zip(out, (np.full(length, rep), np.full(length, n), tokens[:length], np.arange(length), np.full(length, k))):
-                            column.append(value)
-                    del group
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["rep", "size", "token", "at", "probe"])
-
-    return ordered
-
-
-def _prefix_pairs(docs: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs (leader, member) across components of ``open_`` (rep, component) that can reach the similarity."""
     sets = _with_sets(docs, open_.select(F.col("rep").alias("leader"), F.col("rep").alias("member")))
-    sets = sets.select(F.col("member").alias("rep"), F.lit(0).alias("none"), "shingles").dropDuplicates(["rep"])
-    sets = written(sets, "open-sets")
-    sampled = sets.orderBy(F.xxhash64("rep"), "rep").limit(ORDER_SAMPLE).select("shingles")
-    counted = sampled.mapInArrow(_counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 2")
-    frequent = np.array(sorted(r[0] for r in counted.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()), np.int64)
-    rows = sets.mapInArrow(_prefixes(frequent, percent), "rep long, size long, token long, at long, probe long")
-    rows = written(rows.join(_sized(open_), "rep"), "prefixes")
-    a = rows.where("probe = 1").select("token", F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("at").alias("pa"), F.col("component").alias("ca"))
-    b = rows.where("probe = 0").select("token", F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("at").alias("pb"), F.col("component").alias("cb"))
-    larger = "(sa > sb or (sa = sb and a > b))"
-    room = f"least(sa - pa, sb - pb) * {100 + percent} >= {percent} * (sa + sb)"
-    found = a.join(b.hint("merge"), ["token"]).where(f"ca <> cb and {larger} and sb * 100 >= {percent} * sa and {room}")
-    return found.select(F.least("a", "b").alias("leader"), F.greatest("a", "b").alias("member")).distinct()
+    sets = sets.select(F.col("member").alias("rep"), F.size("shingles").alias("size"), "shingles").dropDuplicates(["rep"])
+    held = written(sets.select("rep", "size", F.explode("shingles").alias("token")), "open-shingles")
+    many = written(held.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "repeated-shingles")
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("n", "token")) - 1
+    kept = F.count("*").over(Window.partitionBy("rep"))
+    probe = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    found = F.col("size") - F.ceil(F.col("size") * 2 * percent / (100 + percent)) + 1
+    rows = held.join(many, "token").select("rep", "size", "token", (F.col("size") - kept + rank).alias("at"), probe.alias("probe"), found.alias("found")).where("at < probe")
+    rows = rows.join(_sized(open_), "rep")
+    words = [F.conv(F.hex(F.substring("odd", 1 + 7 * k, 7)), 16, 10).cast("long").alias(f"w{k}") for k in range(-(-BITS // 56))]
+    rows = written(rows.join(sketch.select("rep", *words), "rep"), "prefixes")
+    names = [f"w{k}" for k in range(len(words))]
+    a = rows.select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "size", "at", "component", *names)])
+    b = rows.where("at < found").select("token", *[F.col(c).alias(f"b_{c}") for c in ("rep", "size", "at", "component", *names)])
+    larger = "(a_size > b_size or (a_size = b_size and a_rep > b_rep))"
+    room = f"least(a_size - a_at, b_size - b_at) * {100 + percent} >= {percent} * (a_size + b_size)"
+    unlike = " + ".join(f"bit_count(a_{w} ^ b_{w})" for w in names)
+    far = int(BITS / 2 * (1 - np.exp(-2 * (2 * SAMPLES * (1 - (percent / 100 - SLACK))) / BITS)))
+    pairs = a.join(b.hint("merge"), ["token"]).where(f"a_component <> b_component and {larger} and b_size * 100 >= {percent} * a_size and {room} and {unlike} <= {far}")
+    return pairs.select(F.least("a_rep", "b_rep").alias("leader"), F.greatest("a_rep", "b_rep").alias("member")).distinct()
 
 
 def _sized(small: DataFrame) -> DataFrame:
@@ -204,7 +187,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     starred = members.where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()
     a, b = (reps.select(F.col("rep").alias(x), F.col("odd").alias(f"odd_{x}")) for x in ("leader", "member"))
     likely = starred.join(a, "leader").join(b, "member").select("leader", "member", "odd_leader", "odd_member")
-    likely = likely.mapInArrow(_likely(percent / 100 - 0.27), "leader long, member long").distinct()
+    likely = likely.mapInArrow(_likely(percent / 100 - SLACK), "leader long, member long").distinct()
     edges = written(_confirmed(source, likely, percent).distinct(), "links")
     label = written(components(edges).withColumnRenamed("node", "rep"), "labels", total)
 
@@ -212,7 +195,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = written(named, "named", total * BANDS, 1_000_000)
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_ = written(named.join(written(mixed, "mixed", total * BANDS), "key").select("rep", "component").distinct(), "open", total)
-    more = written(_confirmed(source, _prefix_pairs(source, open_, percent), percent), "links")
+    more = written(_confirmed(source, _prefix_pairs(source, open_, reps.select("rep", "odd").dropDuplicates(["rep"]), percent), percent), "links")
     # the new links join whole components
     over = more.join(label.select(F.col("rep").alias("u"), F.col("component").alias("cu")), "u", "left").join(label.select(F.col("rep").alias("v"), F.col("component").alias("cv")), "v", "left")
     over = components(over.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))).withColumnRenamed("component", "root")
