@@ -116,7 +116,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048,
 
         from pyspark import TaskContext
 
-        from quillsieve.llm.tokenize import default_path, opened
+        from quillsieve.llm.tokenize import close, default_path, opened
 
         encoder, end = opened(tokenizer or default_path()), np.array([end_id], np.int32)
         packer = Packer(capacity, open_windows, min_cut, TaskContext.get().partitionId() << 32)
@@ -131,6 +131,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048,
             yield _batch(packer.out)
             packer.out = []
         gc.enable()
+        close()
         packer.out += packer.left()
         yield _batch(packer.out)
 

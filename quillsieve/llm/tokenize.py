@@ -19,7 +19,7 @@ import regex
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed: the file's own split pattern
 LONGEST = 48
-CACHED_WORDS = 700_000
+CACHED_WORDS = 400_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -231,6 +231,12 @@ def opened(path: str) -> WordBPE:
     return _OPEN[path]
 
 
+def close() -> None:
+    """Forgets the worker's table, so an idle worker holds no memory for it."""
+    for encoder in _OPEN.values():
+        encoder._clear()
+
+
 def default_path() -> str:
     import public_tokenizers
 

@@ -65,7 +65,7 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
     return out
 
 
-def blocks(texts: list[bytes], limit: int = 2_000_000, rows: int = 1000):
+def blocks(texts: list[bytes], limit: int = 1_000_000, rows: int = 1000):
     """Ranges of ``texts`` of about ``limit`` bytes and at most ``rows`` texts."""
     start = total = 0
     for i, t in enumerate(texts):
