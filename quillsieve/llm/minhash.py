@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsieve.plans.components import components
-from quillsieve.llm.words import blocks, mix, shingle_sets
+from quillsieve.llm.words import blocks, mix, release, shingle_sets
 from quillsieve.plans.cut import written
 
 SAMPLES, ROWS, BITS = 128, 4, 512
@@ -82,6 +82,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.binary()),
             ], names=["doc_id", "n_shingles", "set_key", "bands", "odd"])
+    release()
 
 
 def _likely(threshold: float):
@@ -102,6 +103,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(sets, pa.list_(pa.int64()))], names=["leader", "member", "shingles"]
             )
+    release()
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.llm.words import release
 from quillsieve.plans.cut import written
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -104,7 +105,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048, open_windows: int = 24, min_cut: int = 16, end_id: int = 1, block: int = 1000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048, open_windows: int = 24, min_cut: int = 16, end_id: int = 1, block: int = 500) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) in sequences of ``capacity`` ids, one row per piece.
 
     Tokenising and packing are one pass over the scan; only the open windows'
@@ -132,6 +133,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048,
             packer.out = []
         gc.enable()
         close()
+        release()
         packer.out += packer.left()
         yield _batch(packer.out)
 

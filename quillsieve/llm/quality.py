@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.words import _PLACE, _POWER, _VALUE, blocks, mix, word_hashes
+from quillsieve.llm.words import _PLACE, _POWER, _VALUE, blocks, mix, release, word_hashes
 
 LABELLERS = ("upper", "symbols", "bare", "repeats", "stops", "length")
 LOW, ABSTAIN, GOOD = 0, 1, 2
@@ -160,6 +160,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
         texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
         for lo, hi in blocks(texts):
             yield batch.slice(lo, hi - lo), profile(texts[lo:hi])
+    release()
 
 
 _CODES = 3 ** np.arange(len(LABELLERS))
@@ -223,6 +224,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_col
             prior = np.where(p["n"] > 0, posterior[v @ _CODES], 0.0)
             score = prior if weights is None else 1 / (1 + np.exp(-np.clip(features(p) @ weights[:-1] + weights[-1], -50, 50)))
             parts.append(pd.DataFrame({"votes": ["".join("-?+"[x] for x in r) for r in v], "posterior": prior, "score": np.where(p["n"] > 0, score, 0.0)}))
+        release()
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"votes": [], "posterior": [], "score": []})
 
     seen = docs.withColumn("quality__", judge(F.col("text").cast("string")))
