@@ -1,19 +1,22 @@
-"""Operator 8: removal of repeated multi-line passages by content-defined line chunks.
-
-Every line is hashed; a rolling hash over the last ``WINDOW`` line hashes
-decides, from content alone, after which lines a chunk ends, so a passage cuts
-the same way wherever it stands.  A chunk of at least two non-blank lines that
-occurs more than once in the corpus stays where it occurs first (smallest
-doc_id, then position) and is removed elsewhere, after its bytes were compared
-with those of the first.
-
-What is counted and joined are hashes and positions; texts of repeated chunks
+"""Operator 8: removal of repeated multi-line passages.
+
+Every two successive non-blank lines of a text, with the blank lines between
+them, are a seed, found by a rolling hash over the two line hashes wherever
+they stand.  A run of lines is repeated exactly if all its seeds are, so a
+passage of two lines or more is removed from its first to its last line,
+whatever surrounds it.  A seed that occurs more than once in the corpus stays
+where it occurs first (smallest doc_id, then position) and its lines are
+removed elsewhere, after its bytes were compared with those of the first.  The
+first occurrence of a line always stays.
+
+What is counted and joined are hashes and positions; texts of repeated seeds
 alone travel for the comparison.
 
-Defined results: null texts stay null; blank lines alone are never removed;
-repeats within one document count; rows without doc_id keep their text and own
-nothing; rows that share an id own the same positions; a document whose whole
-text was repeated becomes empty (and ``deduplicated`` drops it); extra columns
+Defined results: null texts stay null; blank lines alone are never removed,
+nor are those around a removed passage; repeats within one document count;
+rows without doc_id keep their text and own nothing; rows that share an id own
+the same positions; a document whose whole text was repeated is left blank
+(and ``deduplicated`` drops it); ``chunks_removed`` counts seeds; extra columns
 are kept.
 """
 
@@ -50,30 +53,51 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
+def seeds(lines: list[bytes]) -> list[tuple[int, int]]:
+    """[start, end) from each non-blank line to the next one."""
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    return [(i, j + 1) for i, j in zip(full, full[1:])]
+
+
 def passages(text: bytes) -> list[tuple[int, bytes]]:
-    """(position, bytes) of the chunks with two non-blank lines or more."""
+    """(position, bytes) of the seeds."""
     lines = text.split(b"\n")
-    if len(lines) < 2:
-        return []
-    return [(k, b"\n".join(lines[a:b])) for k, (a, b) in enumerate(chunks(lines)) if sum(bool(x.strip()) for x in lines[a:b]) >= 2]
+    return [(a, b"\n".join(lines[a:b])) for a, b in seeds(lines)]
 
 
 def without(text: bytes, positions: set[int]) -> bytes:
-    """The text less the chunks at ``positions``."""
+    """The text less the lines of the seeds at ``positions``."""
     lines = text.split(b"\n")
-    return b"\n".join(x for k, (a, b) in enumerate(chunks(lines)) if k not in positions for x in lines[a:b])
+    gone = {i for a, b in seeds(lines) if a in positions for i in range(a, b)}
+    return b"\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def rolled(text: bytes) -> list[tuple[int, int]]:
+    """(position, signed 64-bit hash) of the seeds; blank lines between the two count by their bytes."""
     import xxhash
 
+    lines = text.split(b"\n")
+    out, before, at = [], 0, None
+    for i, line in enumerate(lines):
+        if not line.strip():
+            continue
+        h = xxhash.xxh3_64_intdigest(line)
+        if at is not None:
+            gap = 0 if i == at + 1 else xxhash.xxh3_64_intdigest(b"\n".join(lines[at + 1 : i]), i - at)
+            mixed = ((before * 0x9E3779B97F4A7C15 + h) ^ gap) & _M
+            out.append((at, (((mixed ^ (mixed >> 31)) * 0xD6E8FEB86659FD93) & _M) - (1 << 63)))
+        before, at = h, i
+    return out
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, at, hashes = [], [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            for k, chunk in passages(text or b""):
+            for k, h in rolled(text or b""):
                 ids.append(doc_id)
                 at.append(k)
-                hashes.append(xxhash.xxh3_64_intdigest(chunk, 8) - (1 << 63))
+                hashes.append(h)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(hashes, pa.int64())], names=["doc_id", "at", "hash"])
 
 
@@ -81,8 +105,9 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-            found = dict(passages(text or b""))
-            rows += [(doc_id, m["at"], m["hash"], m["first"], found[m["at"]]) for m in marks if m["at"] in found]
+            lines = (text or b"").split(b"\n")
+            found = dict(seeds(lines))
+            rows += [(doc_id, m["at"], m["hash"], m["first"], b"\n".join(lines[m["at"] : found[m["at"]]])) for m in marks if m["at"] in found]
         columns = list(zip(*rows)) if rows else [[]] * 5
         types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "at", "hash", "first", "chunk"])
@@ -94,7 +119,7 @@ def _sized(marks: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, at): the chunks to remove, their bytes equal to those of their first occurrence."""
+    """(doc_id, gone): the positions of the seeds to remove, their bytes equal to those of their first occurrence."""
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = written(texts.mapInArrow(_hashed, "doc_id long, at long, hash long").distinct(), "chunks")
     first_doc = found.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1").select("hash", "owner")
@@ -126,6 +151,6 @@ def line_deduplicated(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with its own columns, repeated passages removed; documents of which nothing is left go."""
-    out = line_deduplicated(docs).where("chunks_removed = 0 or trim(text) <> ''")
+    out = line_deduplicated(docs).where(r"chunks_removed = 0 or text rlike '\\S'")
     columns = [F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]
     return out.select(*columns)

@@ -43,6 +43,40 @@ def test_against_brute_force(spark):
     assert not {i for i, (t, n) in want.items() if n and not t.strip()} & set(kept)
 
 
+def repeated_runs(rows):
+    """Non-blank lines (id, position) of all line runs of two non-blank lines or more that occur earlier, by comparing every two places."""
+    ordered = [(i, k, t.split("\n")) for i, t in sorted(rows) for k in range(t.count("\n") + 1)]
+    gone = set()
+    for n, (i, k, lines) in enumerate(ordered):
+        for _, j, other in ordered[:n]:
+            m = 0
+            while k + m < len(lines) and j + m < len(other) and lines[k + m] == other[j + m]:
+                m += 1
+            full = [x for x in range(k, k + m) if lines[x].strip()]
+            if len(full) >= 2:
+                gone |= {(i, x) for x in full}
+    return gone
+
+
+def test_every_repeated_run_goes_whole(spark):
+    rows = []
+    for n in range(2, 11):  # a passage of n lines in the middle of two differing documents, once with blank lines in it
+        passage = [f"passage {n} line {i}" for i in range(n)]
+        if n % 3 == 0:
+            passage.insert(1, "")
+        for d in range(2):
+            rows.append((10 * n + d, "\n".join([f"head {n} {d} {i}" for i in range(n + 3 * d)] + passage + [f"tail {n} {d} {i}" for i in range(4 - d)])))
+    rows += [(200, "head 5 0 0\nnew\npassage 7 line 2\npassage 7 line 3\n\nend"), (201, "\n" + rows[3][1] + "\n"), (202, "x\ny\nz\nx\ny"), (203, "one\n\ntwo"), (204, "one\n\n\ntwo"), (205, "new\nend")]
+    want = repeated_runs(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in linededup.line_deduplicated(docs).collect()}
+    for i, t in rows:
+        assert [x for x in got[i].split("\n") if x.strip()] == [x for k, x in enumerate(t.split("\n")) if x.strip() and (i, k) not in want]
+    whole = {x for _, t in rows for x in t.split("\n")}
+    assert {x for t in got.values() for x in t.split("\n")} | {""} == whole | {""}
+    assert 201 not in {r.doc_id for r in linededup.deduplicated(docs).collect()}
+
+
 def test_line_dedup_empty(spark):
     assert linededup.deduplicated(spark.createDataFrame([], "doc_id long, text string, n_chars long")).count() == 0
 
