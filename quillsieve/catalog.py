@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quillsieve.functions import policy
 from quillsieve.functions.geometry import iou_sql
 from quillsieve.operators import agreement, audit, dedup, pixels, release, review, scoring, stats
+from quillsieve.plans.cut import written
 from quillsieve.sources import fixtures as fx
 from quillsieve.sources import readers
 
@@ -336,6 +337,18 @@ def _(s):
     return readers.coco_labels(doc).groupBy("file_name", "class_name").agg(F.count("*").alias("boxes"), F.round(F.sum("w"), 4).alias("sum_w"))
 
 
+@query("coco_parse_all", "select concat(image_id, '.jpg') as file_name, class_idx::varchar as class_name, count(*) as boxes, round(sum(w), 4) as sum_w from fx_boxes group by all")
+def _(s):
+    one = F.struct("image_id", F.col("class_idx").alias("category_id"), F.array((F.col("xc") - F.col("w") / 2.0) * 640, F.lit(0.0), F.col("w") * 640, F.col("h") * 640).alias("bbox"))
+    docs = s.boxes.groupBy(F.floor(F.col("image_id") / 1024).alias("bucket")).agg(F.to_json(F.struct(  # a COCO document holds 1,024 images at most
+        F.array(*[F.struct(F.lit(i).alias("id"), F.lit(str(i)).alias("name")) for i in range(15)]).alias("categories"),
+        F.collect_set(F.struct(F.col("image_id").alias("id"), F.concat(F.lit("d/"), F.col("image_id").cast("string"), F.lit(".jpg")).alias("file_name"))).alias("images"),
+        F.array_sort(F.collect_list(one)).alias("annotations"),
+    )).alias("text"))
+    docs = written(docs.select("text"), "coco")
+    return readers.coco_labels(docs).groupBy("file_name", "class_name").agg(F.count("*").alias("boxes"), F.round(F.sum("w"), 4).alias("sum_w"))
+
+
 # --- agreement --------------------------------------------------------------------------------------------------
 
 

@@ -103,13 +103,16 @@ COCO = (
 
 
 def coco_labels(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Boxes of a COCO document by base name; size 640 where missing or 0 (SRC-08, JN-06, JN-15, DOM-05). Parsed once."""
-    doc = documents.select(F.from_json(F.col(text), COCO).alias("d"))
-    names = doc.select(F.explode("d.categories").alias("c")).select("c.id", "c.name")
+    """Boxes of COCO documents by base name; size 640 where missing or 0 (SRC-08, JN-06, JN-15, DOM-05).
+
+    Image and category ids hold within their document; rows of equal text are one document.
+    """
+    doc = documents.select(F.col(text).alias("text")).distinct().select(F.md5("text").alias("doc"), F.from_json("text", COCO).alias("d"))
+    names = doc.select("doc", F.explode("d.categories").alias("c")).select("doc", F.col("c.id").alias("category_id"), "c.name")
     size = lambda c: F.coalesce(F.nullif(F.col(f"i.{c}"), F.lit(0.0)), F.lit(640.0)).alias(c)
-    images = doc.select(F.explode("d.images").alias("i")).select(F.col("i.id").alias("image_id"), F.element_at(F.split("i.file_name", "/"), -1).alias("file_name"), size("width"), size("height"))
-    boxes = doc.select(F.posexplode("d.annotations").alias("ann_seq", "a")).where(F.size("a.bbox") == 4).select("ann_seq", "a.image_id", "a.category_id", "a.bbox")
-    out = boxes.join(images, "image_id").join(names, F.col("category_id") == F.col("id"), "left")
+    images = doc.select("doc", F.explode("d.images").alias("i")).select("doc", F.col("i.id").alias("image_id"), F.element_at(F.split("i.file_name", "/"), -1).alias("file_name"), size("width"), size("height"))
+    boxes = doc.select("doc", F.posexplode("d.annotations").alias("ann_seq", "a")).where(F.size("a.bbox") == 4).select("doc", "ann_seq", "a.image_id", "a.category_id", "a.bbox")
+    out = boxes.join(images, ["doc", "image_id"]).join(names, ["doc", "category_id"], "left")
     label = F.coalesce("name", F.concat(F.lit("class_"), F.col("category_id").cast("string")))
     return out.select("file_name", "ann_seq", label.alias("class_name"), *xywh_to_centre(*[F.get("bbox", k) for k in range(4)], F.col("width"), F.col("height")))
 

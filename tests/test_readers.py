@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +27,12 @@ def test_yolo_text(spark):
     assert bad == {(2, "columns"), (3, "outside"), (4, "not_a_number")}
 
 
+def test_coco_ids_hold_within_their_document(spark):
+    doc = lambda name, file, x: json.dumps({"categories": [{"id": 1, "name": name}], "images": [{"id": 5, "file_name": f"a/{file}"}], "annotations": [{"image_id": 5, "category_id": 1, "bbox": [x, 0, 64, 64]}]})
+    r = readers.coco_labels(spark.createDataFrame([(doc("cat", "p.jpg", 0),), (doc("dog", "q.jpg", 64),)], "text string")).collect()
+    assert sorted((b.file_name, b.class_name, round(b.xc, 3)) for b in r) == [("p.jpg", "cat", 0.05), ("q.jpg", "dog", 0.15)]
+
+
 def test_voc_and_coco(spark):
     xml = "<annotation><size><width>100</width><height>200</height></size><object><name>zit</name><bndbox><xmin>10</xmin><ymin>20</ymin><xmax>30</xmax><ymax>60</ymax></bndbox></object><object><name>x</name><bndbox><xmin>0</xmin><ymin>0</ymin><xmax>50</xmax><ymax>50</ymax></bndbox></object></annotation>"
     r = readers.voc_labels(spark.createDataFrame([("a", xml)], "image_id string, text string")).orderBy("ann_seq").first()
