@@ -586,6 +586,11 @@ def _(s):
     return dedup.near_pairs(dedup.sign_hash(s.embeddings), "vec_id", "bits", 12)
 
 
+@query("vector_near_pairs_16", f"with {_VEC} select a.vec_id as id_a, b.vec_id as id_b, (bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi)))::bigint as distance from vec a join vec b on a.vec_id < b.vec_id and bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi)) <= 16")
+def _(s):
+    return dedup.near_pairs(dedup.sign_hash(s.embeddings), "vec_id", "bits", 16)
+
+
 # --- release ----------------------------------------------------------------------------------------------------
 
 _SPLIT = "split as (select *, row_number() over (order by md5('42:' || image_id), image_id) as rk, count(*) over () as total from fx_images), tagged as (select *, case when rk <= floor(total * 0.7e0) then 'train' when rk <= floor(total * 0.7e0) + floor(total * 0.15e0) then 'val' else 'test' end as split from split)"

@@ -33,9 +33,8 @@ def exact_groups(rows: DataFrame, key: str, id_column: str, order: list[Column])
 
 def _banded(rows: DataFrame, id_column: str, bits: str, threshold: int) -> DataFrame:
     bands = threshold + 1
-    width = -(-64 // bands)
-    mask = F.lit((1 << width) - 1).cast("long")
-    keys = F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(F.col(bits), k * width).bitwiseAND(mask).alias("part")) for k in range(bands)])
+    cuts = [k * 64 // bands for k in range(bands + 1)]
+    keys = F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(F.col(bits), a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")).alias("part")) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))])
     return rows.where(F.col(bits).isNotNull()).select(id_column, bits, F.explode(keys).alias("at")).select(id_column, bits, "at.band", "at.part")
 
 

@@ -27,6 +27,12 @@ def test_yolo_text(spark):
     assert bad == {(2, "columns"), (3, "outside"), (4, "not_a_number")}
 
 
+def test_near_pairs_at_a_threshold_of_16(spark):
+    apart = sum(1 << (4 * k) for k in range(16))  # one bit in every four
+    rows = spark.createDataFrame([(1, 0), (2, apart), (3, apart | 2)], "image_id long, bits long")
+    assert {(r.id_a, r.id_b, r.distance) for r in dedup.near_pairs(rows, threshold=16).collect()} == {(1, 2, 16), (2, 3, 1)}
+
+
 def test_coco_ids_hold_within_their_document(spark):
     doc = lambda name, file, x: json.dumps({"categories": [{"id": 1, "name": name}], "images": [{"id": 5, "file_name": f"a/{file}"}], "annotations": [{"image_id": 5, "category_id": 1, "bbox": [x, 0, 64, 64]}]})
     r = readers.coco_labels(spark.createDataFrame([(doc("cat", "p.jpg", 0),), (doc("dog", "q.jpg", 64),)], "text string")).collect()
