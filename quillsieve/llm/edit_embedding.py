@@ -26,6 +26,7 @@ nulls first; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.plans.components import components
 from quillsieve.plans.cut import written
 
 SAMPLES = 128
@@ -247,30 +249,75 @@ def fingerprint_rows(docs: DataFrame, parts: int | None = None) -> DataFrame:
 _SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bands_shared long"
 
 
-def near_pairs(docs: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Pairs (leader, member, likeness) of documents that share a band with the bucket's smallest id and verify.
+def _likenesses(a: list[str], b: list[str]) -> np.ndarray:
+    """``near`` of many pairs at once."""
+    cut = lambda x: _VALUE[np.frombuffer("".join(f[2:] for f in x).encode(), np.uint8)].reshape(-1, 2, SAMPLES)
+    la, lb = (np.array([int(f[:2], 16) for f in x]) for x in (a, b))
+    x, y, at = cut(a), cut(b), np.arange(len(a))
+    x, y = x[at, (la < lb).astype(int)], y[at, (la > lb).astype(int)]
+    met = (x != PAD) | (y != PAD)
+    share = ((x == y) & met).sum(1) / np.maximum(met.sum(1), 1)
+    out = np.where((abs(la - lb) > 1) | ~met.any(1), 0.0, np.maximum(0.0, (share - 1 / 16) / (1 - 1 / 16)))
+    return np.where([f == g for f, g in zip(a, b)], 1.0, out)
 
-    Texts with equal fingerprints are one class with its smallest id; a bucket
-    of k classes gives k - 1 pairs, and near copies meet in many buckets.
-    """
+
+def _prints(docs: DataFrame, keys=band_keys) -> DataFrame:
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for lo in range(0, len(texts), 500):
-                prints = fingerprints([_codes(t) for t in texts[lo : lo + 500]])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 500), pa.array(prints), pa.array([band_keys(p) for p in prints], pa.list_(pa.int64()))], names=["doc_id", "fingerprint", "bands"])
+                part = texts[lo : lo + 500]
+                prints = fingerprints([_codes(t) for t in part])
+                digests = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in part]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 500), pa.array(digests, pa.binary()), pa.array(prints), pa.array([keys(p) for p in prints], pa.list_(pa.int64()))], names=["doc_id", "digest", "fingerprint", "bands"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(printed, "doc_id long, digest binary, fingerprint string, bands array<long>")
+
+
+def text_classes(docs: DataFrame) -> DataFrame:
+    """(rep, doc_id) of every document: equal texts are one class, named by its smallest id in ``near_pairs``."""
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("digest"))
+    return rows.join(rows.groupBy("digest").agg(F.min("doc_id").alias("rep")), "digest").select("rep", "doc_id")
 
+
+def near_pairs(docs: DataFrame, threshold: float = 0.7, block: int = 1000, keys=band_keys) -> DataFrame:
+    """Pairs (leader, member, likeness) of differing texts, smaller id first, that link all texts near in a bucket.
+
+    Equal texts are one, see ``text_classes``.  Differing texts of equal
+    fingerprints pair with the smallest id, likeness 1; that id alone goes on.
+    It is compared with its buckets' smallest ids.  A bucket that is then not within one component is
+    compared in full, members of one component with those of the others; a
+    large one in blocks of about ``block`` classes, so no task holds it whole.
+    Pairs within a component are not all listed.
+    """
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            like = pa.array([near(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.float64())
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), like], names=["leader", "member", "likeness"])
-            yield out.filter(pa.array([x >= threshold for x in like.to_pylist()], pa.bool_()))
+            if batch.num_rows:
+                like = _likenesses(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(like, pa.float64())], names=["leader", "member", "likeness"])
+                yield out.filter(pa.array(like >= threshold))
+
+    differing = _prints(docs, keys).groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands"))
+    differing = written(differing.where("id is not null"), "prints")
+    classes = written(differing.groupBy("fingerprint").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    same = differing.join(classes.select("fingerprint", "rep"), "fingerprint").where("id <> rep").select(F.col("rep").alias("leader"), F.col("id").alias("member"), F.lit(1.0).alias("likeness"))
+    texts = classes.select("rep", "fingerprint")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        joined = pairs.join(texts.select(F.col("rep").alias("leader"), F.col("fingerprint").alias("fa")), "leader").join(texts.select(F.col("rep").alias("member"), F.col("fingerprint").alias("fb")), "member")
+        return written(joined.select("leader", "member", "fa", "fb").mapInArrow(verify, "leader long, member long, likeness double"), "near")
 
-    printed_rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(printed, "doc_id long, fingerprint string, bands array<long>")
-    classes = written(printed_rows.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "prints")
     keyed = classes.select("rep", F.explode(F.array_distinct("bands")).alias("key"))
-    leaders = written(keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").select("key", "leader"), "leaders")
-    pairs = keyed.join(leaders, "key").where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct()
-    texts = classes.select(F.col("rep"), "fingerprint")
-    joined = pairs.join(texts.select(F.col("rep").alias("leader"), F.col("fingerprint").alias("fa")), "leader").join(texts.select(F.col("rep").alias("member"), F.col("fingerprint").alias("fb")), "member")
-    return joined.select("leader", "member", "fa", "fb").mapInArrow(verify, "leader long, member long, likeness double")
+    leaders = written(keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1"), "leaders")
+    led = verified(keyed.join(leaders, "key").where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct())
+    linked = components(led.select(F.col("leader").alias("u"), F.col("member").alias("v")))
+    held = keyed.join(leaders, "key").join(linked.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    held = written(held, "buckets")
+    open_ = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    salts = F.floor(F.col("n") / block) + 1
+    rest = held.join(open_, "key").where("rep <> leader").withColumn("salt", F.pmod(F.xxhash64("rep"), salts))
+    a = rest.select("key", "salt", F.col("rep").alias("a"), F.col("component").alias("ca"))
+    b = rest.select("key", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.col("rep").alias("b"), F.col("component").alias("cb"))
+    pairs = a.join(b, ["key", "salt"]).where("a < b and ca <> cb").select(F.col("a").alias("leader"), F.col("b").alias("member")).distinct()
+    return led.unionByName(verified(pairs)).unionByName(same)

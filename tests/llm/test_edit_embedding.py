@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from quillsieve.llm.edit_embedding import fingerprint_rows, fingerprints, near, near_pairs
+from quillsieve.llm.edit_embedding import fingerprint_rows, fingerprints, near, near_pairs, text_classes
 
 
 def _codes(t):
@@ -70,3 +70,18 @@ def test_near_pairs_against_all_pairs(spark):
     wanted = {(i, 100 + i) for i in range(12) if near(prints[i], prints[100 + i]) >= 0.8}
     got = {(r.leader, r.member) for r in near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), 0.8).collect()}
     assert got <= wanted and len(got) >= 0.9 * len(wanted) >= 5
+
+
+def test_near_copies_behind_an_unlike_leader(spark):
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("abcdefgh "), 2000)) for _ in range(6)]
+    rows = [(0, "unlike " * 285)] + [(1 + i, b) for i, b in enumerate(base)] + [(101 + i, b[:1990] + "!") for i, b in enumerate(base)] + [(201, base[0])]
+    prints = {i: fingerprints([_codes(t)])[0] for i, t in rows}
+    ids = [i for i, _ in rows if i != 201]
+    wanted = {(i, j) for i in ids for j in ids if i < j and near(prints[i], prints[j]) >= 0.8}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for block in (1000, 3):
+        got = {(r.leader, r.member): r.likeness for r in near_pairs(docs, 0.8, block, lambda p: [7]).collect()}  # all in one bucket
+        assert set(got) == wanted and len(wanted) >= 4
+        assert all(x == pytest.approx(near(prints[i], prints[j])) for (i, j), x in got.items())
+    assert {(r.rep, r.doc_id) for r in text_classes(docs).collect()} == {(i, i) for i in ids} | {(1, 201)}
