@@ -1,8 +1,8 @@
 """Operator 9: mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells (source, language, topic).  The cells' token sums are
-raked: in turn each dimension's marginal is scaled to its target, until all
-three hold.  A document is then kept with its cell's probability, the smaller
+raked: in turn each dimension's marginal is scaled to its target, for
+a fixed number of turns; ``achieved`` says how far the targets are met.  A document is then kept with its cell's probability, the smaller
 of 1 and a multiple of target tokens over present tokens, the multiple chosen
 so that the expected sample is the wanted share of all tokens.  Chance comes
 from the document's id, so a rerun keeps the same documents.
@@ -96,6 +96,24 @@ def mixed(docs: DataFrame, targets=None, temper: Mapping[str, float] = TEMPER, k
     return out.withColumn("sampled", _chance(F.col("id"), seed) < F.col("probability")).drop("id")
 
 
+def achieved(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: Mapping[str, float] = TEMPER, **options) -> DataFrame:
+    """(dimension, value, target, expected) token shares that ``mixed`` aims at and that its probabilities give; clipping at 1 and too few turns show here."""
+    cells = mixed(docs, targets, temper, **options).groupBy(*DIMENSIONS).agg(F.sum("tokens").cast("double").alias("x"), F.sum(F.col("tokens") * F.col("probability")).alias("e"))
+    cells = written(cells.where("x > 0"), "achieved")
+    out = None
+    for d in DIMENSIONS:
+        if targets and d in targets:
+            pairs = [F.lit(v) for k, share in targets[d].items() for v in (k, float(share))]
+            goal = F.coalesce(F.create_map(*pairs)[F.col(d)], F.lit(0.0))
+        else:
+            goal = F.pow("x", F.lit(temper[d]))
+        share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(c).over(Window.partitionBy())), F.lit(0.0))
+        sums = cells.groupBy(d).agg(F.sum("x").alias("x"), F.sum("e").alias("e")).withColumn("g", goal)
+        part = sums.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), share("g").alias("target"), share("e").alias("expected"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def sampled_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix keeps, with their own columns."""
     return mixed(docs, **options).where("sampled").select("doc.*")

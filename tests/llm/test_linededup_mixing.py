@@ -117,5 +117,12 @@ def test_targets_are_met(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
+def test_missed_targets_are_reported(spark):
+    docs = spark.createDataFrame([(i, "w" * 400, "en", "small" if i < 10 else "large") for i in range(100)], "doc_id long, text string, lang string, source string")
+    got = {r.value: r for r in mixing.achieved(docs, {"source": {"small": 0.5, "large": 0.5}}, keep=0.7).where("dimension = 'source'").collect()}
+    assert {v: r.target for v, r in got.items()} == {"small": 0.5, "large": 0.5}
+    assert got["small"].expected == pytest.approx(10 / 70) and got["large"].expected == pytest.approx(60 / 70)
+
+
 def test_mixing_empty(spark):
     assert mixing.sampled_documents(_docs(spark).where("doc_id = -5")).count() == 0
