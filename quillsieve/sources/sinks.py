@@ -11,6 +11,7 @@ MANIFEST = (
     "dataset_id", "relative_path", "sha256", "merged_filename", "original_filename", "split", "width", "height", "file_hash", "perceptual_hash", "annotation_count",
     "label_count", "overall_score", "status",
 )
+REPORT_ROWS = 1000
 
 
 def write_label_files(lines: DataFrame, folder: str) -> None:
@@ -44,15 +45,18 @@ def data_yaml(names: tuple[str, ...], splits: dict[str, str]) -> str:
 
 
 def markdown_report(title: str, summary: str, sections: dict[str, DataFrame | str]) -> str:
-    """Title, summary and sections; tables are small aggregates (SNK-08)."""
+    """Title, summary and sections; tables are small aggregates (SNK-08), a larger one is refused."""
     parts = [f"# {title}", "", summary, ""]
     for name, body in sections.items():
         parts += [f"## {name}", ""]
         if isinstance(body, str):
             parts += [body, ""]
             continue
+        rows = body.limit(REPORT_ROWS + 1).collect()
+        if len(rows) > REPORT_ROWS:
+            raise ValueError(f"section {name!r}: more than {REPORT_ROWS} rows; write it as a table of its own")
         parts += ["| " + " | ".join(body.columns) + " |", "| " + " | ".join("---" for _ in body.columns) + " |"]
-        parts += ["| " + " | ".join("" if v is None else str(v) for v in row) + " |" for row in body.limit(1000).collect()]
+        parts += ["| " + " | ".join("" if v is None else str(v) for v in row) + " |" for row in rows]
         parts.append("")
     return "\n".join(parts)
 

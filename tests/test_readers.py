@@ -33,6 +33,12 @@ def test_near_pairs_at_a_threshold_of_16(spark):
     assert {(r.id_a, r.id_b, r.distance) for r in dedup.near_pairs(rows, threshold=16).collect()} == {(1, 2, 16), (2, 3, 1)}
 
 
+def test_markdown_report_refuses_what_it_would_cut(spark):
+    assert sinks.markdown_report("t", "s", {"x": spark.range(1000)}).count("\n| ") == 1002
+    with pytest.raises(ValueError, match="more than 1000 rows"):
+        sinks.markdown_report("t", "s", {"x": spark.range(1001)})
+
+
 def test_coco_ids_hold_within_their_document(spark):
     doc = lambda name, file, x: json.dumps({"categories": [{"id": 1, "name": name}], "images": [{"id": 5, "file_name": f"a/{file}"}], "annotations": [{"image_id": 5, "category_id": 1, "bbox": [x, 0, 64, 64]}]})
     r = readers.coco_labels(spark.createDataFrame([(doc("cat", "p.jpg", 0),), (doc("dog", "q.jpg", 64),)], "text string")).collect()
