@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.words import _PLACE, _POWER, _VALUE, blocks, mix, release, word_hashes
+from quillsieve.llm.words import _PLACE, _VALUE, blocks, mix, release, weights, word_hashes
 
 LABELLERS = ("upper", "symbols", "bare", "repeats", "stops", "length")
 LOW, ABSTAIN, GOOD = 0, 1, 2
@@ -63,7 +63,7 @@ def profile(texts: list[bytes]) -> dict[str, np.ndarray]:
     turn = begins | np.concatenate([[True], shape_code[1:] != shape_code[:-1]])
     place = np.cumsum(turn)
     place = place - np.repeat(place[start], size)
-    shape = mix(np.add.reduceat(np.where(turn, _VALUE[shape_code + 128 * (shape_code < 8)] * _POWER[place & 4095], np.uint64(0)), start) + _PLACE[np.minimum(run, 2)])
+    shape = mix(np.add.reduceat(np.where(turn, _VALUE[shape_code + 128 * (shape_code < 8)] * weights(place), np.uint64(0)), start) + _PLACE[np.minimum(run, 2)])
     before = np.concatenate([[False], (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])])
     pair = np.where(np.concatenate([[False], doc[1:] == doc[:-1]]), mix(h + np.concatenate([h[:1], h[:-1]]) * _PLACE[40]), mix(h))
     per = lambda x: np.bincount(doc, x, len(texts)) / np.maximum(n, 1)

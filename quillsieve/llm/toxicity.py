@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.words import _POWER, _VALUE, blocks, mix
+from quillsieve.llm.words import _VALUE, blocks, mix, weights
 
 POSITIVES, NEGATIVES, TERMS, COMMON, LEAST_DOCS = 2500, 4000, 1800, 200, 4
 STEMS = (4, 5, 6)
@@ -55,8 +55,8 @@ def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start = np.cumsum(size) - size
     if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    place = (np.arange(len(letters)) - np.repeat(start, size)) & 4095
-    word = mix(np.add.reduceat(_VALUE[letters] * _POWER[place], start) + size.astype(np.uint64))
+    place = np.arange(len(letters)) - np.repeat(start, size)
+    word = mix(np.add.reduceat(_VALUE[letters] * weights(place), start) + size.astype(np.uint64))
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     doc = np.searchsorted(ends, first, side="right")
     long_enough = size >= 3

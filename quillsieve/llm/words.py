@@ -10,6 +10,7 @@ for _c in range(65, 91):  # A-Z fold to a-z
     _VALUE[_c] = _VALUE[_c + 32]
 _POWER = _RNG.integers(1, 2**63, 4096, np.uint64) | np.uint64(1)
 _PLACE = _RNG.integers(1, 2**63, 64, np.uint64) | np.uint64(1)
+_FAR = np.uint64(0x9E3779B97F4A7C15)  # a weight's factor for every further 4096 bytes of a word
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -23,6 +24,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def weights(place: np.ndarray) -> np.ndarray:
+    """Odd weights of byte places in a word; they differ beyond 4096 bytes too, so a hash depends on every byte's place."""
+    near = _POWER[place & 4095]
+    if not len(place) or int(place.max()) < 4096:
+        return near
+    far = np.full(int(place.max() >> 12) + 1, _FAR)
+    far[0] = 1
+    return near * np.cumprod(far)[place >> 12]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words ``[^\\x20\\x09-\\x0D]+``, A-Z lowered, and the number of words of each text."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
@@ -36,8 +47,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = last - first
     letters = data[~blank]
     start = np.cumsum(size) - size
-    place = (np.arange(len(letters)) - np.repeat(start, size)) & 4095
-    h = mix(np.add.reduceat(_VALUE[letters] * _POWER[place], start) + size.astype(np.uint64))
+    place = np.arange(len(letters)) - np.repeat(start, size)
+    h = mix(np.add.reduceat(_VALUE[letters] * weights(place), start) + size.astype(np.uint64))
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     upto = np.searchsorted(first, ends)
     return h, np.diff(upto, prepend=0)
@@ -58,7 +69,7 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
             keep[0], keep[1:] = True, s[1:] != s[:-1]
             out.append(s[keep])
         elif n:
-            out.append(mix(np.array([(h[at : at + n] * _PLACE[:n]).sum(dtype=np.uint64) + _PLACE[32 + n]], np.uint64)))
+            out.append(mix((h[at : at + n] * _PLACE[:n]).sum(dtype=np.uint64, keepdims=True) + _PLACE[32 + n : 33 + n]))
         else:
             out.append(np.zeros(0, np.uint64))
         at += n

@@ -3,7 +3,8 @@ import re
 import numpy as np
 
 from quillsieve.plans.components import components
-from quillsieve.llm.minhash import near_duplicates, signatures, similarity_of
+from quillsieve.llm import minhash
+from quillsieve.llm.minhash import deduplicated, near_duplicates, signatures, similarity_of
 from quillsieve.llm.words import shingle_sets
 
 
@@ -87,3 +88,30 @@ def test_components_of_chains_and_stars(spark):
         p, q = find(a), find(b)
         parent[max(p, q)] = min(p, q)
     assert got == {x: find(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_words_that_swap_far_blocks_differ(spark):
+    a, b = "a" * 4096 + "b" * 4096, "b" * 4096 + "a" * 4096
+    c = "".join(chr(97 + i % 7) * 4096 for i in range(5))
+    d = c[4096 * 2 : 4096 * 3] + c[4096 : 4096 * 2] + c[: 4096] + c[4096 * 3 :]
+    rows = list(enumerate([a, b, c, d, a + " x", b + " x", c.upper()]))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
+def test_one_id_with_two_texts_and_repeated_rows(spark):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(3, one, 1), (5, one, 2), (5, two, 3), (7, two, 4), (7, two, 4), (9, "alone here", 5), (9, "alone here", 5), (None, one, 6), (2**62, two + " end", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key int")
+    got = sorted(((r.doc_id or -1), r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    assert got == [(-1, None, True), (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (7, 5, False), (9, 9, True), (9, 9, True), (2**62, 5, False)]
+    left = sorted((r.doc_id or -1, r.text, r.text_key) for r in deduplicated(docs).collect())
+    assert left == [(-1, one, 6), (3, one, 1), (5, two, 3), (9, "alone here", 5)]
+
+
+def test_a_leader_of_many_members(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HUB", 4)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[: 30 + i % 3] + [f"x{i}"] + base[30 + i % 3 :])) for i in range(60)] + [(99, "quite another text of some words")]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
