@@ -14,8 +14,11 @@ alone travel for the comparison.
 
 Defined results: null texts stay null; blank lines alone are never removed,
 nor are those around a removed passage; repeats within one document count;
-rows without doc_id keep their text and own nothing; rows that share an id own
-the same positions; a document whose whole text was repeated is left blank
+rows without doc_id keep their text and own nothing; rows that repeat an id and
+its text are one document with one owner and lose or keep the same lines; texts
+that share an id are told apart by their hash, ties for the first occurrence
+going to the smaller one; a text of any length is cut whole, by one task; a
+document whose whole text was repeated is left blank
 (and ``deduplicated`` drops it); ``chunks_removed`` counts seeds; extra columns
 are kept.
 """
@@ -28,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.plans.cut import written
+from quillsieve.llm.words import text_key
+from quillsieve.plans.cut import scratch, written
 
 WINDOW, MEAN_LINES, MOST_LINES = 2, 3, 64
-SMALL_ROWS = 400_000  # so many (id, positions) rows at most are broadcast
+SMALL_ROWS = 400_000  # lists of so many positions in all at most are broadcast, 24 bytes each
 _M = (1 << 64) - 1
 
 
@@ -92,46 +96,52 @@ def rolled(text: bytes) -> list[tuple[int, int]]:
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, at, hashes = [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+        ids, keys, at, hashes = [], [], [], []
+        for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
             for k, h in rolled(text or b""):
                 ids.append(doc_id)
+                keys.append(key)
                 at.append(k)
                 hashes.append(h)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(hashes, pa.int64())], names=["doc_id", "at", "hash"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, keys, at, hashes)], names=["doc_id", "key", "at", "hash"])
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc_id, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+        for doc_id, key, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
             lines = (text or b"").split(b"\n")
             found = dict(seeds(lines))
-            rows += [(doc_id, m["at"], m["hash"], m["first"], b"\n".join(lines[m["at"] : found[m["at"]]])) for m in marks if m["at"] in found]
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "at", "hash", "first", "chunk"])
+            rows += [(doc_id, key, m["at"], m["hash"], m["first"], b"\n".join(lines[m["at"] : found[m["at"]]])) for m in marks]
+        columns = list(zip(*rows)) if rows else [[]] * 6
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "key", "at", "hash", "first", "chunk"])
 
 
-def _sized(marks: DataFrame) -> DataFrame:
-    """``marks`` for a join: to be broadcast only if it was counted to be small."""
-    return F.broadcast(marks) if marks.count() <= SMALL_ROWS else marks
+def _sized(lists: DataFrame, column: str) -> DataFrame:
+    """``lists`` for a join: to be broadcast only if its lists were counted to hold few positions in all."""
+    return F.broadcast(lists) if (lists.agg(F.sum(F.size(column))).first()[0] or 0) <= SMALL_ROWS else lists
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, gone): the positions of the seeds to remove, their bytes equal to those of their first occurrence."""
-    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = written(texts.mapInArrow(_hashed, "doc_id long, at long, hash long").distinct(), "chunks")
-    first_doc = found.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1").select("hash", "owner")
-    first_doc = written(first_doc, "owners")
-    held = written(found.join(first_doc, "hash"), "held")
-    first = written(held.where("doc_id = owner").groupBy("hash").agg(F.min("at").alias("first_at")), "firsts")
-    marks = held.join(first, "hash").select("doc_id", "at", "hash", ((F.col("doc_id") == F.col("owner")) & (F.col("at") == F.col("first_at"))).alias("first"))
-    marks = written(marks.groupBy("doc_id").agg(F.collect_list(F.struct("at", "hash", "first")).alias("marks")), "marks")
-    bytes_ = written(texts.join(_sized(marks), "doc_id").mapInArrow(_picked, "doc_id long, at long, hash long, first boolean, chunk binary"), "chunk-bytes")
-    owners = written(bytes_.where("first").select("hash", F.col("chunk").alias("owned")).dropDuplicates(["hash"]), "chunk-owners")
-    rest = bytes_.where("not first").join(owners, "hash").where("chunk = owned").select("doc_id", "at")
-    return written(rest.groupBy("doc_id").agg(F.collect_set("at").alias("gone")), "gone")
+    """(doc_id, key, gone): the positions of the seeds to remove from the text with that id and hash, their bytes equal to those of their first occurrence."""
+    with scratch() as block:
+        texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+        found = written(texts.mapInArrow(_hashed, "doc_id long, key long, at long, hash long").distinct(), "chunks")
+        first_doc = found.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1").select("hash", "owner")
+        first_doc = written(first_doc, "owners")
+        held = written(found.join(first_doc, "hash"), "held")
+        first = written(held.where("doc_id = owner").groupBy("hash").agg(F.min(F.struct("key", "at")).alias("first")), "firsts")
+        is_first = (F.col("doc_id") == F.col("owner")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))
+        marks = held.join(first, "hash").select("doc_id", "key", "at", "hash", is_first.alias("first"))
+        marks = written(marks.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "hash", "first")).alias("marks")), "marks")
+        bytes_ = texts.join(_sized(marks, "marks"), ["doc_id", "key"]).select("doc_id", "key", "text", "marks")
+        bytes_ = written(bytes_.mapInArrow(_picked, "doc_id long, key long, at long, hash long, first boolean, chunk binary"), "chunk-bytes")
+        owners = written(bytes_.where("first").select("hash", F.col("chunk").alias("owned")).dropDuplicates(["hash"]), "chunk-owners")
+        rest = bytes_.where("not first").join(owners, "hash").where("chunk = owned").select("doc_id", "key", "at")
+        gone = written(rest.groupBy("doc_id", "key").agg(F.collect_set("at").alias("gone")), "gone")
+        block.keep(gone)
+    return gone
 
 
 def line_deduplicated(docs: DataFrame) -> DataFrame:
@@ -141,9 +151,9 @@ def line_deduplicated(docs: DataFrame) -> DataFrame:
     def cut(texts, gone):
         return texts.__class__([None if t is None or g is None else without(t.encode(), {int(x) for x in g}).decode() for t, g in zip(texts, gone)], dtype=object)
 
-    gone = repeated_chunks(docs).withColumnRenamed("doc_id", "gone_id__").withColumnRenamed("gone", "gone__")
-    joined = docs.join(_sized(gone), F.col("doc_id").cast("long") == F.col("gone_id__"), "left")
-    joined = joined.withColumn("cut__", cut(F.when(F.col("gone__").isNotNull(), F.col("text")), F.col("gone__")))
+    gone = repeated_chunks(docs).select(F.col("doc_id").alias("gone_id__"), F.col("key").alias("gone_key__"), F.col("gone").alias("gone__"))
+    joined = docs.join(_sized(gone, "gone__"), (F.col("doc_id").cast("long") == F.col("gone_id__")) & (text_key(F.col("text")) == F.col("gone_key__")), "left")
+    joined = joined.withColumn("cut__", cut(F.when(F.col("gone__").isNotNull(), F.col("text").cast("string")), F.col("gone__")))
     text = F.when(F.col("gone__").isNotNull(), F.col("cut__")).otherwise(F.col("text"))
     columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "chunks_removed"]
     return joined.select(*columns, F.coalesce(F.size("gone__"), F.lit(0)).cast("long").alias("chunks_removed"))

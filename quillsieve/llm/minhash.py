@@ -28,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsieve.plans.components import components
-from quillsieve.llm.words import blocks, mix, release, shingle_sets
+from quillsieve.llm.words import blocks, mix, release, shingle_sets, text_key
 from quillsieve.plans.cut import scratch, written
 
 SAMPLES, ROWS, BITS = 128, 4, 512
@@ -66,11 +66,6 @@ def similarity_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(1 - differ / (2 * SAMPLES), 0, 1)
 
 
-def text_key(text: Column) -> Column:
-    """What tells texts of one id apart; null texts are empty."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
@@ -253,7 +248,7 @@ def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
         gone = written(judged.where("not kept").select(F.col("doc_id").alias("gone_id__"), F.col("text_key").alias("gone_key__")).distinct(), "gone")
         twice = written(judged.where("kept and doc_id is not null").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key"), "twice")
         block.keep(gone, twice)
-        key = text_key(F.col("text").cast("string"))
+        key = text_key(F.col("text"))
         match = lambda t, a, b: (F.col("doc_id").cast("long") == t[a]) & (key == t[b])
         kept = docs.join(_sized(gone), match(gone, "gone_id__", "gone_key__"), "left_anti")
         if not twice.count():

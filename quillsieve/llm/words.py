@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 _RNG = np.random.default_rng(0x5EED)
 _VALUE = _RNG.integers(1, 2**63, 256, np.uint64) | np.uint64(1)
@@ -76,6 +78,11 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
     return out
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells the texts of one id apart; null texts are empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def release() -> None:
     """Gives a worker's freed memory back to the system; workers outlive their tasks, and glibc keeps what they freed."""
     import ctypes

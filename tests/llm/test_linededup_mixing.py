@@ -77,6 +77,14 @@ def test_every_repeated_run_goes_whole(spark):
     assert 201 not in {r.doc_id for r in linededup.deduplicated(docs).collect()}
 
 
+def test_texts_that_share_an_id(spark):
+    a, u = "one line here\nsecond line here\nthird", "unique line\nanother unique\nlast unique"
+    rows = [(1, a), (5, a), (5, u), (7, u), (7, u), (8, "x\n" + a + "\ny"), (2**62, u)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.text, r.chunks_removed) for r in linededup.line_deduplicated(docs).collect())
+    assert got == sorted([(1, a, 0), (5, "", 2), (5, u, 0), (7, "", 2), (7, "", 2), (8, "x\ny", 2), (2**62, "", 2)])
+
+
 def test_line_dedup_empty(spark):
     assert linededup.deduplicated(spark.createDataFrame([], "doc_id long, text string, n_chars long")).count() == 0
 
