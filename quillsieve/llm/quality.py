@@ -1,20 +1,25 @@
 """Operator 7: document quality from weak labels.
 
-Six overlapping heuristic labellers vote low, good or abstain on every
+Nine overlapping heuristic labellers vote low, good or abstain on every
 document.  Expectation-maximisation over the counts of vote patterns of ALL
-documents estimates how each labeller votes on low and on good documents and
-the share of low ones; that turns a vote pattern into a posterior.  Low
-documents are of several kinds, each seen by few labellers, which two classes
-alone would not tell from labellers' errors; as labellers vote low on gross
-marks only, the share of good documents on which one does so is held to
-``FALSE_ALARM``.  The posteriors of a bounded sample (``SAMPLE`` documents by hash order) train a
-logistic scorer on hashed words and word shapes, which scores every document.
-A document is rejected if the scorer and its posterior both call it low, so
-that clean documents of unusual form stay.
+documents estimates, for latent kinds of documents, how often each labeller
+votes what on a kind and how large the kind is; votes are independent within a
+kind, and several kinds carry the labellers' dependence (one kind of junk sets
+off several of them, another only one).  A kind is low if some labeller votes
+low on most of its documents, else good: texts that are merely short or
+unusual form good kinds of their own, so a lone low vote does not decide.
+That gives each labeller's accuracies (``Model.tables``) and turns a vote
+pattern into a posterior.  The posteriors of a bounded sample (``SAMPLE``
+documents by hash order) train a logistic scorer on hashed words and word
+shapes, which scores every document.  A document is rejected if the scorer and
+its posterior both call it low.
 
 Defined results: null, empty and blank texts have no words, get score 0 and are
-not kept; repeated rows score alike, whatever their id; a table without words
-has no scorer and scores by posterior; extra columns are ignored.
+not kept; repeated rows score alike, whatever their id; ties of the sample are
+rows of one id and text, any of which gives the same model; a table without
+words has no scorer and scores by posterior; a text of any length is one
+profile, made by one task; extra columns are ignored, or kept by ``kept``
+whatever their names.
 """
 
 from __future__ import annotations
@@ -23,15 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.llm.words import _PLACE, _VALUE, blocks, mix, release, weights, word_hashes
 
-LABELLERS = ("upper", "symbols", "bare", "repeats", "stops", "length")
+LABELLERS = ("upper", "caps", "symbols", "bare", "letters", "repeats", "variety", "stops", "length")
 LOW, ABSTAIN, GOOD = 0, 1, 2
 SAMPLE, WORDS_DIM, SHAPES_DIM = 8000, 768, 256
-TURNS, THRESHOLD, FALSE_ALARM = 40, 0.5, 0.0005
+TURNS, STILL, THRESHOLD = 1000, 1e-7, 0.5
 
 _KIND = np.full(256, 4, np.uint8)  # other bytes belong to letters outside ASCII
 for _b in range(128):
@@ -71,7 +76,9 @@ def profile(texts: list[bytes]) -> dict[str, np.ndarray]:
     cuts = np.concatenate([[0], np.cumsum(counts)])
     distinct = np.array([len(np.unique(h[i:j])) for i, j in zip(cuts, cuts[1:])]) / np.maximum(n, 1)
     pairs = np.array([len(np.unique(pair[i:j])) for i, j in zip(cuts, cuts[1:])]) / np.maximum(n, 1)
+    letters, cased = np.bincount(doc, total((k == 1) | (k == 2) | (k == 4)), len(texts)), np.bincount(doc, upper + lower, len(texts))
     out |= {
+        "letters": letters / np.maximum(np.bincount(doc, size, len(texts)), 1), "caps": np.bincount(doc, upper, len(texts)) / np.maximum(cased, 1),
         "shape": np.where(before, mix(shape + _PLACE[41]), shape), "upper": per((upper > 1) & (lower == 0)), "symbols": per(run > 0), "bare": per(mark == size),
         "repeats": per(before), "distinct": distinct, "pairs": pairs, "stops": per(ends), "length": np.bincount(doc, size, len(texts)) / np.maximum(n, 1),
     }
@@ -85,11 +92,12 @@ def votes(p: dict[str, np.ndarray]) -> np.ndarray:
     if "shape" not in p:
         out[:] = LOW
         return out
-    # labeller: low at or past the first bound, good at or past the second
+    # labeller: when it votes low, when it votes good; bounds are loose, so that labellers overlap and err
     rules = {
-        "upper": (p["upper"] >= 0.4, p["upper"] <= 0.02), "symbols": (p["symbols"] >= 0.15, p["symbols"] <= 0.005), "bare": (p["bare"] >= 0.12, p["bare"] <= 0.01),
-        "repeats": ((p["repeats"] >= 0.2) | ((p["distinct"] <= 0.3) | (p["pairs"] <= 0.5)) & (n >= 30), (p["repeats"] <= 0.02) & (p["distinct"] >= 0.45) & (p["pairs"] >= 0.85)),
-        "stops": ((p["stops"] >= 0.5) & (n >= 20), (p["stops"] >= 0.02) & (p["stops"] < 0.5) | (n < 60)), "length": ((p["length"] >= 14) | (p["length"] <= 2), (p["length"] >= 3.5) & (p["length"] <= 10)),
+        "upper": (p["upper"] >= 0.3, p["upper"] <= 0.02), "caps": (p["caps"] >= 0.1, p["caps"] <= 0.04), "symbols": (p["symbols"] >= 0.05, p["symbols"] <= 0.005),
+        "bare": (p["bare"] >= 0.05, p["bare"] <= 0.01), "letters": (p["letters"] <= 0.85, p["letters"] >= 0.93), "repeats": (p["repeats"] >= 0.1, p["repeats"] <= 0.03),
+        "variety": (((p["distinct"] <= 0.35) | (p["pairs"] <= 0.6)) & (n >= 30), (p["distinct"] >= 0.45) & (p["pairs"] >= 0.85)),
+        "stops": ((p["stops"] >= 0.25) & (n >= 20) | (p["stops"] < 0.01) & (n >= 60), (p["stops"] >= 0.02) & (p["stops"] < 0.2)), "length": ((p["length"] >= 8) | (p["length"] <= 2.5), (p["length"] >= 3.5) & (p["length"] <= 6.6)),
     }
     for k, name in enumerate(LABELLERS):
         low, good = rules[name]
@@ -99,27 +107,49 @@ def votes(p: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit_labellers(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS, false_alarm: float = FALSE_ALARM) -> tuple[np.ndarray, np.ndarray, float]:
-    """EM on vote patterns: (posterior of good by pattern, tables labeller x class x vote, share of good).
+def _given(patterns: np.ndarray, kinds: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """P(kind | votes) for each pattern; ``kinds`` is labeller x kind x vote."""
+    log = np.log(shares)[None, :] + sum(np.log(kinds[j])[:, patterns[:, j]].T for j in range(patterns.shape[1]))
+    p = np.exp(log - log.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
 
-    It starts from the plain rule that any low vote means low; every table has
-    one pseudo-vote, so that a vote never seen does not decide alone.
+
+def fit_kinds(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS, still: float = STILL) -> tuple[np.ndarray, np.ndarray]:
+    """EM on vote patterns for one kind without low votes and one kind a labeller: (votes by labeller x kind x vote, shares).
+
+    It starts from the votes: half of a pattern with low votes, or less where
+    several labellers agree, is of the first kind, the rest of the kinds of
+    those that voted low.  Every table has one pseudo-vote and every kind one
+    pseudo-document; nothing else holds the estimates.
     """
-    good = np.where((patterns == LOW).any(1), 0.1, 0.9)
-    tables, share = np.zeros((patterns.shape[1], 2, 3)), 0.5
+    labellers = patterns.shape[1]
+    low = patterns == LOW
+    n = low.sum(1)
+    first = np.where(n > 0, 0.5 / (1 + n), 0.95)
+    rest = np.where(n[:, None] > 0, low / np.maximum(n, 1)[:, None], 1 / labellers)
+    held = np.hstack([first[:, None], rest * (1 - first)[:, None]])
     for _ in range(turns):
-        weight = np.stack([counts * (1 - good), counts * good])
-        share = float((weight[1].sum() + 1) / (counts.sum() + 2))
-        for k in range(patterns.shape[1]):
-            for c in (0, 1):
-                t = np.bincount(patterns[:, k], weight[c], 3) + 1 / 3
-                tables[k, c] = t / t.sum()
-            tables[k, 1, LOW] = min(tables[k, 1, LOW], false_alarm)
-            tables[k, 1] /= tables[k, 1].sum()
-        each = np.log(tables[np.arange(patterns.shape[1])[None, :], :, patterns]).sum(1)
-        logit = each[:, 1] - each[:, 0] + np.log(share / (1 - share))
-        good = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
-    return good, tables, share
+        weight = counts[:, None] * held
+        shares = (weight.sum(0) + 1) / (counts.sum() + labellers + 1)
+        kinds = np.stack([np.stack([weight[patterns[:, j] == v].sum(0) for v in range(3)], 1) + 1 / 3 for j in range(labellers)])
+        kinds /= kinds.sum(2, keepdims=True)
+        before, held = held, _given(patterns, kinds, shares)
+        if np.abs(held - before).max() < still:
+            break
+    return kinds, shares
+
+
+def good_kinds(kinds: np.ndarray) -> np.ndarray:
+    """Which kinds are good: those on most of whose documents no labeller votes low."""
+    return kinds[:, :, LOW].max(0) < 0.5
+
+
+def fit_labellers(patterns: np.ndarray, counts: np.ndarray, turns: int = TURNS) -> tuple[np.ndarray, np.ndarray, float]:
+    """(posterior of good by pattern, accuracies labeller x class x vote, share of good), the classes being low and good."""
+    kinds, shares = fit_kinds(patterns, counts, turns)
+    good = good_kinds(kinds)
+    tables = np.stack([(kinds * (shares * c)[None, :, None]).sum(1) / max((shares * c).sum(), 1e-12) for c in (~good, good)], 1)
+    return _given(patterns, kinds, shares)[:, good].sum(1), tables, float(shares[good].sum())
 
 
 def features(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -180,8 +210,11 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array([x.tobytes() for x in features(p)], pa.binary())], names=["pattern", "x"])
 
 
+_ALL = np.arange(3 ** len(LABELLERS))[:, None] // _CODES[None, :] % 3
+
+
 class Model:
-    """Posteriors by vote pattern, labellers' tables and the scorer's weights."""
+    """Posteriors by vote pattern, labellers' accuracies (labeller x class x vote, low class first) and the scorer's weights."""
 
     def __init__(self, posterior: np.ndarray, tables: np.ndarray, share: float, weights: np.ndarray | None):
         self.posterior, self.tables, self.share, self.weights = posterior, tables, share, weights
@@ -190,27 +223,27 @@ class Model:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on ``docs`` (doc_id, text): labellers on all rows, the scorer on a bounded sample."""
     text = F.col("text").cast("string").alias("text")
-    rows = docs.select(text).mapInArrow(_pattern_counts, "pattern long, n long").groupBy("pattern").agg(F.sum("n")).collect()
-    posterior = np.full(3 ** len(LABELLERS), 0.5)
+    rows = docs.select(text).mapInArrow(_pattern_counts, "pattern long, n long").groupBy("pattern").agg(F.sum("n")).collect()  # a row a pattern at most
     if not rows:
-        return Model(posterior, np.zeros((len(LABELLERS), 2, 3)), 0.5, None)
-    code, count = (np.array(x, np.int64) for x in zip(*rows))
-    patterns = code[:, None] // _CODES[None, :] % 3
-    good, tables, share = fit_labellers(patterns, count.astype(np.float64))
-    posterior[code] = good
+        return Model(np.full(len(_ALL), 0.5), np.zeros((len(LABELLERS), 2, 3)), 0.5, None)
+    code, count = (np.array(x, np.int64) for x in zip(*sorted(map(tuple, rows))))
+    kinds, shares = fit_kinds(_ALL[code], count.astype(np.float64))
+    _, tables, share = fit_labellers(_ALL[code], count.astype(np.float64))
+    posterior = _given(_ALL, kinds, shares)[:, good_kinds(kinds)].sum(1)
     # the sample's last hash first, so that only hashes are sorted and no text is moved
     keyed = docs.select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("r"), text).where("trim(text) <> ''")
-    last = keyed.select("r").orderBy("r").limit(sample).agg(F.max("r")).first()[0]
-    some = keyed.where(F.col("r") <= F.lit(last)).select("text").limit(sample)
-    got = some.mapInArrow(_sampled, "pattern long, x binary").collect()
-    if not got:
+    first = [r[0] for r in keyed.select("r").orderBy("r").limit(sample).collect()]
+    if not first:
         return Model(posterior, tables, share, None)
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in got])
-    return Model(posterior, tables, share, fit_scorer(x, posterior[[r.pattern for r in got]]))
+    last = F.lit(first[-1])
+    # rows of the last hash repeat one id and text, so any of them will do
+    some = keyed.where(F.col("r") < last).unionByName(keyed.where(F.col("r") == last).limit(first.count(first[-1])))
+    got = sorted(map(tuple, some.select("text").mapInArrow(_sampled, "pattern long, x binary").collect()))
+    x = np.stack([np.frombuffer(v, np.float32) for _, v in got])
+    return Model(posterior, tables, share, fit_scorer(x, posterior[[p for p, _ in got]]))
 
 
-def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
-    """``docs`` with quality_votes, quality_posterior, quality_score and quality_kept; only doc_id unless ``keep_columns``."""
+def _judge(model: Model, text: Column) -> Column:
     posterior, weights = model.posterior, model.weights
 
     @F.pandas_udf("struct<votes: string, posterior: double, score: double>")
@@ -227,7 +260,21 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_col
         release()
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"votes": [], "posterior": [], "score": []})
 
-    seen = docs.withColumn("quality__", judge(F.col("text").cast("string")))
-    columns = [F.col(f"`{c}`") for c in docs.columns] if keep_columns else [F.col("doc_id")]
-    q = F.col("quality__")
-    return seen.select(*columns, q.votes.alias("quality_votes"), q.posterior.alias("quality_posterior"), q.score.alias("quality_score"), ((q.score >= threshold) | (q.posterior >= threshold)).alias("quality_kept"))
+    return judge(text.cast("string"))
+
+
+def _good(judged: Column, threshold: float) -> Column:
+    return (judged.score >= threshold) | (judged.posterior >= threshold)
+
+
+def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id of every row of ``docs`` with quality_votes, quality_posterior, quality_score and quality_kept."""
+    q = F.col("q")
+    seen = docs.select("doc_id", _judge(model, F.col("text")).alias("q"))
+    return seen.select("doc_id", q.votes.alias("quality_votes"), q.posterior.alias("quality_posterior"), q.score.alias("quality_score"), _good(q, threshold).alias("quality_kept"))
+
+
+def kept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with their own columns."""
+    seen = docs.select(F.struct("*").alias("doc"), _judge(model, F.col("text")).alias("q"))
+    return seen.where(_good(F.col("q"), threshold)).select("doc.*")

@@ -21,6 +21,9 @@ def test_profile_against_plain_python():
         assert p["upper"][i] == pytest.approx(sum(sum("A" <= c <= "Z" for c in x) > 1 and not any("a" <= c <= "z" for c in x) for x in w) / n)
         assert p["symbols"][i] == pytest.approx(sum(bool(re.search(r"([!-/:-@\[-`{-~])\1", x)) for x in w) / n)
         assert p["repeats"][i] == pytest.approx(sum(a == b for a, b in zip(w, w[1:])) / n)
+        nonblank, cased = [c for x in w for c in x.encode()], [c for x in w for c in x if c.isascii() and c.isalpha()]
+        assert p["letters"][i] == pytest.approx(sum(c > 127 or chr(c).isalpha() for c in nonblank) / max(1, len(nonblank)))
+        assert p["caps"][i] == pytest.approx(sum(c.isupper() for c in cased) / max(1, len(cased)))
         assert p["stops"][i] == pytest.approx(sum(x[-1] in ".!?" for x in w) / n)
 
 
@@ -32,12 +35,97 @@ def test_em_recovers_labellers():
         low = np.where(truth, rng.random(20000) < false, rng.random(20000) < hit)
         v[:, k] = np.where(low, quality.LOW, quality.GOOD)
     patterns, inverse, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
-    good, tables, share = quality.fit_labellers(patterns, counts.astype(float), false_alarm=0.05)
+    good, tables, share = quality.fit_labellers(patterns, counts.astype(float))
     assert abs(share - 0.8) < 0.02
     assert abs(tables[0, 0, quality.LOW] - 0.9) < 0.03 and abs(tables[1, 0, quality.LOW] - 0.7) < 0.04
     assert ((good[inverse.ravel()] > 0.5) == truth).mean() > 0.95
 
 
+def test_lone_votes_of_a_poor_labeller_do_not_decide():
+    rng = np.random.default_rng(1)
+    truth = rng.random(40000) < 0.8
+    v = np.empty((40000, 4), np.int64)
+    for k, (hit, false) in enumerate([(0.9, 0.01), (0.8, 0.01), (0.7, 0.01), (0.6, 0.08)]):
+        v[:, k] = np.where(np.where(truth, rng.random(40000) < false, rng.random(40000) < hit), quality.LOW, quality.GOOD)
+    patterns, inverse, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
+    good, tables, _ = quality.fit_labellers(patterns, counts.astype(float))
+    by = {tuple(p): g for p, g in zip(patterns.tolist(), good)}
+    assert by[2, 2, 2, 0] > 0.5 and by[0, 0, 2, 2] < 0.5
+    assert tables[3, 1, quality.LOW] == pytest.approx(0.08, abs=0.02) and tables[0, 0, quality.LOW] == pytest.approx(0.9, abs=0.03)
+    assert ((good[inverse.ravel()] > 0.5) == truth).mean() > ((v == quality.LOW).any(1) == ~truth).mean() + 0.05
+
+
+def plain_votes(text):
+    words = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in x) for x in words]
+    n = len(words)
+    if not n:
+        return "-" * 9
+    raw, cased = "".join(words).encode(), [c for x in words for c in x if c.isascii() and c.isalpha()]
+    marks = r"[!-/:-@\[-`{-~\x00-\x08\x0e-\x1f\x7f]"
+    share = lambda hits: sum(map(bool, hits)) / n
+    upper, symbols, bare = (share(f(x) for x in words) for f in (lambda x: sum("A" <= c <= "Z" for c in x) > 1 and not re.search("[a-z]", x), lambda x: re.search(f"({marks})\\1", x), lambda x: re.fullmatch(f"{marks}+", x)))
+    caps, letters = sum(c.isupper() for c in cased) / max(1, len(cased)), sum(c > 127 or chr(c).isalpha() for c in raw) / len(raw)
+    repeats, distinct, pairs = share(a == b for a, b in zip(low, low[1:])), len(set(low)) / n, len({(None, low[0]), *zip(low, low[1:])}) / n
+    stops, length = share(x[-1] in ".!?" for x in words), len(raw) / n
+    pick = lambda bad, good: "-" if bad else "+" if good else "?"
+    return "".join([
+        pick(upper >= 0.3, upper <= 0.02), pick(caps >= 0.1, caps <= 0.04), pick(symbols >= 0.05, symbols <= 0.005), pick(bare >= 0.05, bare <= 0.01), pick(letters <= 0.85, letters >= 0.93),
+        pick(repeats >= 0.1, repeats <= 0.03), pick((distinct <= 0.35 or pairs <= 0.6) and n >= 30, distinct >= 0.45 and pairs >= 0.85), pick(stops >= 0.25 and n >= 20 or stops < 0.01 and n >= 60, 0.02 <= stops < 0.2),
+        pick(length >= 8 or length <= 2.5, 3.5 <= length <= 6.6),
+    ])
+
+
+def plain_posteriors(counts, turns):
+    """EM for ten kinds in plain loops: the posterior of good of each pattern."""
+    m, total = 9, sum(counts.values())
+    held = {}
+    for p in counts:
+        n = p.count("-")
+        first = 0.5 / (1 + n) if n else 0.95
+        held[p] = [first] + [(1 - first) * ((c == "-") / n if n else 1 / m) for c in p]
+    for _ in range(turns):
+        shares = [(sum(n * held[p][k] for p, n in counts.items()) + 1) / (total + m + 1) for k in range(m + 1)]
+        table = {}
+        for j in range(m):
+            for k in range(m + 1):
+                part = {v: sum(n * held[p][k] for p, n in counts.items() if p[j] == v) + 1 / 3 for v in "-?+"}
+                table[j, k] = {v: x / sum(part.values()) for v, x in part.items()}
+        before, held = held, {}
+        for p in counts:
+            like = [shares[k] * float(np.prod([table[j, k][p[j]] for j in range(m)])) for k in range(m + 1)]
+            held[p] = [x / sum(like) for x in like]
+        if max(abs(a - b) for p in counts for a, b in zip(held[p], before[p])) < quality.STILL:
+            break
+    good = [k for k in range(m + 1) if max(table[j, k]["-"] for j in range(m)) < 0.5]
+    return {p: sum(h[k] for k in good) for p, h in held.items()}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_quality_query_against_plain_python(spark):
+    from collections import Counter
+
+    from quillsieve.llm.queries import op7_quality
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    votes = {i: plain_votes(t) for i, t in texts.items()}
+    posterior = plain_posteriors(Counter(votes.values()), quality.TURNS)
+    got = {r.doc_id: r for r in op7_quality(spark, "/root/testdata/sf0.001").collect()}
+    weights = quality.fit(docs).weights
+    assert set(got) == set(texts)
+    for i, r in got.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[i])
+        assert r.quality_votes == votes[i]
+        assert r.quality_posterior == pytest.approx(posterior[votes[i]] if words else 0.0, abs=1e-5)
+        if words:
+            p = quality.profile([texts[i].encode()])
+            count = Counter([int(h) % 768 for h in p["hash"]] + [768 + int(h) % 256 for h in p["shape"]])
+            z = float(weights[-1]) + sum(float(weights[k]) * np.log1p(100 * n / len(words)) for k, n in count.items())
+            assert r.quality_score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-3)
+        assert r.quality_kept == (max(r.quality_score, r.quality_posterior) >= 0.5)
+
+
 @DATA
 def test_quality_on_labelled_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
@@ -51,6 +139,7 @@ def test_quality_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, " \n", "x"), (3, " \n", "x"), (None, "plain words here", "x"), (4, "w " * 200_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality_score string")
     got = quality.scored(docs, quality.fit(docs)).collect()
+    assert [r[2] for r in quality.kept(docs, quality.fit(docs)).collect()] == ["x"] * sum(r.quality_kept for r in got)
     assert len(got) == 6 and all(r.quality_score == 0 and not r.quality_kept for r in got if r.doc_id in (1, 2, 3))
     empty = docs.where("doc_id = 99")
     assert quality.scored(empty, quality.fit(empty)).count() == 0
