@@ -23,8 +23,7 @@ from quillsieve.plans.cut import scratch, written
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label classifier keeps."""
-    judged = quality.scored(docs, quality.fit(docs), keep_columns=True)
-    return judged.where("quality_kept").select(*docs.columns)
+    return quality.kept(docs, quality.fit(docs))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
