@@ -2,23 +2,30 @@
 
 Terms are lower-cased words and their stems (first 4, 5 and 6 bytes).  A
 bounded sample of labelled rows (``POSITIVES`` and ``NEGATIVES`` by hash order)
-gives the examples and, by how unevenly a term falls on the two labels, the
-``TERMS`` terms that carry them, besides ``COMMON`` most frequent ones.  How
-many documents hold each term is counted over the whole table.
-
-The examples lie in an inverted index of blocks with the greatest weight of
-each term in each block.  A text's bound on a block is its product with those
-maxima; the blocks of the highest bounds are read first, then all whose bound
-reaches the k-th best cosine found, so the k nearest are exact.  Their votes
-are weighted by closeness; a monotone map fitted on the examples, each left
-out in turn and weighted back to the labelled rows' shares, makes the vote a
-probability.  The nearest examples are the evidence.
-
-Defined results: null and empty texts, and texts without any term, get the
-share of toxic rows among examples without terms; equal texts score alike;
-without labelled rows of both kinds every score is the share of toxic rows (0
-without any); labels of unknown documents, null labels and extra columns are
-ignored; ties between examples go to the smaller example number.
+gives the examples; their terms, all of them, are the vocabulary.  A term
+weighs its inverse document frequency, counted over the whole table, times how
+unevenly it falls on the two labels, to the power ``TELLING`` (0: plain
+TF-IDF, whose neighbours share topics rather than labels).
+
+The examples lie in an inverted index: a term's postings are cut into the
+blocks of examples that hold it, each with the term's greatest weight in the
+block.  A text's bound on a block is the sum of its terms' greatest weights
+there; the blocks of the highest bounds are read first, then all whose bound
+reaches the k-th best found, and the best there are compared whole, so the k
+nearest are exact.  Cosines are summed in float64 and in one order, so equal texts get equal
+results in any batch.  Votes are weighted by closeness; a monotone map
+fitted on the examples, each left out in turn and weighted back to the labelled
+rows' shares, makes the vote a probability.  The nearest examples are the
+evidence.
+
+Defined results: null and empty texts, and texts without any term of an
+example, get the share of toxic rows among examples without neighbours; equal
+texts score alike; without labelled rows of both kinds every score is the share
+of toxic rows (0 without any); labels of unknown documents, null labels and
+extra columns are ignored; where labels of one id differ it is toxic; of texts
+that share an example's id the one of the smallest hash is the example; a text
+of any length is one vector, made by one task; ties between examples go to the
+smaller example number.
 """
 
 from __future__ import annotations
@@ -30,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.words import _VALUE, blocks, mix, weights
+from quillsieve.llm.words import _VALUE, blocks, mix, release, text_key, weights
 
-POSITIVES, NEGATIVES, TERMS, COMMON, LEAST_DOCS = 2500, 4000, 1800, 200, 4
+POSITIVES, NEGATIVES, TELLING = 1500, 2500, 0.9
 STEMS = (4, 5, 6)
-K, BLOCK, THRESHOLD = 15, 64, 0.7
+K, BLOCK, AHEAD, THRESHOLD = 15, 64, 4, 0.7
+COLUMNS, BATCH, SLACK = 1024, 128, np.float32(2e-5)  # the slack is more than float32 sums lose
 
 _LETTER = np.zeros(256, bool)
 _LETTER[128:] = True
@@ -72,94 +80,169 @@ def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(out)
 
 
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [start, start + n), one after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def tallied(doc: np.ndarray, term: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, occurrences), sorted, of term numbers below ``width``."""
+    key, n = np.unique(doc * width + term, return_counts=True)
+    return key // width, key % width, n
+
+
 class Vocabulary:
-    """Chosen term hashes, sorted; maps occurrences to columns."""
+    """Sorted term hashes; a table of their leading bits says where to look."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms)
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.terms >> np.uint64(44)).astype(np.int64)] = True
-
-    def counts(self, texts: list[bytes]) -> np.ndarray:
-        """Occurrences (texts x terms)."""
-        n, width = len(texts), len(self.terms)
+        self.terms = terms
+        bits = max(4, int(len(terms)).bit_length() + 3)
+        self.shift = np.uint64(64 - bits)
+        self.start = np.searchsorted(terms >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.most = int(np.diff(self.start).max()) if len(terms) else 0
+
+    def find(self, term: np.ndarray) -> np.ndarray:
+        """Each hash's number, -1 for unknown ones."""
+        out = np.full(len(term), -1, np.int64)
+        head = (term >> self.shift).astype(np.int64)
+        at, end = self.start[head], self.start[head + 1]
+        open_ = np.flatnonzero(at < end)
+        for step in range(self.most):
+            spot = at[open_] + step
+            hit = self.terms[spot] == term[open_]
+            out[open_[hit]] = spot[hit]
+            open_ = open_[~hit & (spot + 1 < end[open_])]
+        return out
+
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term number, occurrences), sorted."""
         doc, term = terms_of(texts)
-        if not width or not len(doc):
-            return np.zeros((n, width), np.int32)
-        some = self.maybe[(term >> np.uint64(44)).astype(np.int64)]
-        doc, term = doc[some], term[some]
-        at = np.minimum(np.searchsorted(self.terms, term), width - 1)
-        hit = self.terms[at] == term
-        return np.bincount(doc[hit] * width + at[hit], minlength=n * width).reshape(n, width)
+        at = self.find(term)
+        known = at >= 0
+        return tallied(doc[known], at[known], max(1, len(self.terms)))
 
 
-def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF rows (float32); rows without terms stay zero."""
-    x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    norm = np.sqrt((x * x).sum(1))
-    return (x / np.where(norm > 0, norm, 1)[:, None]).astype(np.float32)
+def weigh(doc: np.ndarray, at: np.ndarray, n: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of (document, term, occurrences) in unit vectors; a row without weight stays zero."""
+    x = (1 + np.log(n)) * weight[at]
+    norm = np.sqrt(np.bincount(doc, x * x, rows))
+    return x / np.where(norm > 0, norm, 1)[doc]
 
 
 class BlockMaxIndex:
-    """Examples in blocks, with each term's greatest weight in each block."""
-
-    def __init__(self, vectors: np.ndarray, block: int = BLOCK, ahead: int = 4):
-        some = np.flatnonzero(vectors.any(1)) if len(vectors) else np.zeros(0, np.int64)
-        order = some[np.argsort(vectors[some].argmax(1), kind="stable")] if len(some) else some
-        self.blocks = [(order[i : i + block], np.ascontiguousarray(vectors[order[i : i + block]].T)) for i in range(0, len(order), block)]
-        self.most = np.stack([b.max(1) for _, b in self.blocks], 1) if self.blocks else np.zeros((vectors.shape[1], 0), np.float32)
-        self.size, self.ahead, self.names = len(order), ahead, order
-        self.starts = np.minimum(np.arange(len(self.blocks) + 1) * block, self.size)
-
-    def top(self, queries: np.ndarray, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Example numbers (-1: none) and cosines of the k nearest of each query row; ``without``: an example to leave out."""
-        n = len(queries)
-        best, who = np.full((n, k), -1.0, np.float32), np.full((n, k), -1, np.int64)
-        live = np.flatnonzero(queries.any(1))
-        if not self.blocks or not len(live):
+    """Postings of examples (example, term, weight; unit vectors) in blocks of examples, with each term's greatest weight in each block.
+
+    The ``columns`` terms of the longest lists are kept as columns of each
+    block, all others as lists; whole vectors are kept for the last comparison.
+    """
+
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK, ahead: int = AHEAD, columns: int = COLUMNS):
+        some = weight > 0
+        example, term, weight = example[some], term[some], weight[some]
+        # examples of one heaviest term lie together
+        order = np.lexsort((term, -weight, example))
+        first = order[np.flatnonzero(np.diff(example[order], prepend=-1))]
+        self.names = example[first][np.lexsort((example[first], term[first]))]
+        self.size, self.ahead, self.blocks = len(self.names), ahead, -(-len(self.names) // block)
+        self.edge = np.minimum(np.arange(self.blocks + 1) * block, self.size)
+        place = np.zeros(int(self.names.max()) + 1 if self.size else 0, np.int64)
+        place[self.names] = np.arange(self.size)
+        at = place[example]
+        # whole vectors by example
+        order = np.lexsort((term, at))
+        self.whole = np.searchsorted(at[order], np.arange(self.size + 1))
+        self.term, self.weight = term[order].astype(np.int32), weight[order]
+        # the longest lists as columns
+        held = np.bincount(term, minlength=terms)
+        longest = np.argsort(-held, kind="stable")[:columns]
+        self.column = np.full(terms, -1, np.int32)
+        self.column[longest] = np.arange(len(longest))
+        wide = self.column[term] >= 0
+        dense = np.zeros((self.size, len(longest)), np.float32)
+        dense[at[wide], self.column[term[wide]]] = weight[wide]
+        self.dense = [np.ascontiguousarray(dense[a:b].T) for a, b in zip(self.edge, self.edge[1:])]
+        self.dense_most = np.stack([b.max(1) for b in self.dense], 1) if self.blocks else np.zeros((len(longest), 0), np.float32)
+        # the others by term and block
+        order = np.lexsort((at, term))
+        order = order[~wide[order]]
+        term, self.at, self.share = term[order], at[order], weight[order]
+        cut = np.flatnonzero(np.diff(term * (self.blocks + 1) + self.at // block, prepend=-1))
+        self.start = np.append(cut, len(term))
+        self.block, self.most = self.at[cut] // block, np.maximum.reduceat(self.share, cut) if len(cut) else self.share
+        self.entries = np.searchsorted(term[cut], np.arange(terms + 1))
+        self.read = self.held = 0
+
+    def top(self, doc: np.ndarray, at: np.ndarray, weight: np.ndarray, rows: int, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Example numbers (-1: none) and cosines of the k nearest of texts given as sorted (text, term, weight); ``without``: an example to leave out."""
+        who, best = np.full((rows, k), -1, np.int64), np.zeros((rows, k))
+        if not self.size or not len(doc):
             return who, best
-        q = queries[live]
-        bound = q @ self.most + np.float32(1e-5)
-        score = np.full((len(live), self.size), -1, np.float32)
-        read = np.zeros(bound.shape, bool)
-
-        def evaluate(wanted: np.ndarray) -> None:
+        query = np.zeros(len(self.column))
+        bounds = np.searchsorted(doc, np.arange(rows + 1))
+        for lo in range(0, rows, BATCH):
+            hi = min(rows, lo + BATCH)
+            part = slice(bounds[lo], bounds[hi])
+            found = self._candidates(doc[part] - lo, at[part], weight[part], hi - lo, k, None if without is None else without[lo:hi])
+            for r, some in enumerate(found, lo):
+                if len(some):
+                    own = slice(bounds[r], bounds[r + 1])
+                    query[at[own]] = weight[own]
+                    cosine = self._cosines(query, some)
+                    query[at[own]] = 0
+                    name = self.names[some]
+                    order = np.lexsort((name, -cosine))[:k]
+                    order = order[cosine[order] > 0]
+                    who[r, : len(order)], best[r, : len(order)] = name[order], cosine[order]
+        return who, best
+
+    def _cosines(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Whole products with the examples ``some``, summed in the order of their terms."""
+        n = self.whole[some + 1] - self.whole[some]
+        posting = _spread(self.whole[some], n)
+        return np.bincount(np.repeat(np.arange(len(some)), n), query[self.term[posting]] * self.weight[posting], len(some))
+
+    def _candidates(self, doc, at, weight, rows, k, without) -> list[np.ndarray]:
+        """For each text the examples whose product, but for ``SLACK`` of rounding, reaches the k-th best."""
+        column = self.column[at]
+        wide = column >= 0
+        dense = np.zeros((rows, len(self.dense_most)), np.float32)
+        dense[doc[wide], column[wide]] = weight[wide]
+        doc, at, weight = doc[~wide], at[~wide], weight[~wide]
+        n = self.entries[at + 1] - self.entries[at]
+        entry, of = _spread(self.entries[at], n), np.repeat(np.arange(len(at)), n)
+        cell = doc[of] * self.blocks + self.block[entry]
+        bound = np.bincount(cell, weight[of] * self.most[entry], rows * self.blocks).reshape(rows, self.blocks) + dense @ self.dense_most
+        score, seen = np.full((rows, self.size), -1, np.float32), np.zeros((rows, self.blocks), bool)
+
+        def read(wanted: np.ndarray) -> np.ndarray:
             for b in np.flatnonzero(wanted.any(0)):
-                rows = np.flatnonzero(wanted[:, b])
-                score[rows, self.starts[b] : self.starts[b + 1]] = q[rows] @ self.blocks[b][1]
-                if without is not None:
-                    own = self.blocks[b][0][None, :] == without[live[rows]][:, None]
-                    r, c = np.nonzero(own)
-                    score[rows[r], self.starts[b] + c] = -1
-            read[wanted] = True
-
-        def least() -> np.ndarray:
-            """Each query's k-th best cosine so far."""
-            return -np.partition(-score, k - 1, axis=1)[:, k - 1] if self.size >= k else np.full(len(score), -1, np.float32)
-
-        # the blocks of the highest bounds give the bar that the others' bounds must reach
-        some = min(self.ahead, len(self.blocks))
+                these = np.flatnonzero(wanted[:, b])
+                score[these, self.edge[b] : self.edge[b + 1]] = dense[these] @ self.dense[b]
+            some = wanted.ravel()[cell]
+            chosen, source = entry[some], of[some]
+            n = self.start[chosen + 1] - self.start[chosen]
+            posting, source = _spread(self.start[chosen], n), np.repeat(source, n)
+            score.ravel()[:] += np.bincount(doc[source] * self.size + self.at[posting], weight[source] * self.share[posting], rows * self.size).astype(np.float32)
+            if without is not None:
+                score[self.names[None, :] == without[:, None]] = -1
+            seen[wanted] = True
+            return np.maximum(np.partition(score, self.size - k, axis=1)[:, self.size - k], 0) if self.size >= k else np.zeros(rows, np.float32)
+
         first = np.zeros(bound.shape, bool)
+        some = min(self.ahead, self.blocks)
         np.put_along_axis(first, np.argpartition(-bound, some - 1, axis=1)[:, :some], True, 1)
-        evaluate(first)
-        evaluate(~read & (bound >= np.maximum(least(), 0)[:, None]))
-        bar = np.maximum(least(), np.float32(1e-12))
-        row, column = np.nonzero(score >= bar[:, None])
-        value, name = score[row, column], self.names[column]
-        order = np.lexsort((name, -value, row))
-        row, value, name = row[order], value[order], name[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        kept = rank < k
-        best[live[row[kept]], rank[kept]], who[live[row[kept]], rank[kept]] = value[kept], name[kept]
-        who[best <= 0] = -1
-        return who, np.maximum(best, 0)
+        bar = read(first & (bound > 0))
+        bar = read(~seen & (bound > 0) & (bound + SLACK >= bar[:, None]))
+        self.read, self.held = self.read + int(seen.sum()), self.held + seen.size
+        row, column = np.nonzero((score > 0) & (score + SLACK >= bar[:, None]))
+        return np.split(column, np.searchsorted(row, np.arange(1, rows)))
 
 
 def vote(who: np.ndarray, cosine: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Distance-weighted share of toxic neighbours; NaN without neighbours."""
+    """Closeness-weighted share of toxic neighbours; NaN without neighbours."""
     if not len(toxic):
         return np.full(len(who), np.nan)
-    weight = np.where(who >= 0, cosine.astype(np.float64) ** 4, 0)
+    weight = np.where(who >= 0, cosine**4, 0)
     total = weight.sum(1)
     return np.where(total > 0, (weight * toxic[who]).sum(1) / np.where(total > 0, total, 1), np.nan)
 
@@ -180,27 +263,30 @@ def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 
 class Model:
-    def __init__(self, vocabulary, idf, vectors, toxic, names, share, share_bare, knots, values):
-        self.vocabulary, self.idf, self.vectors, self.toxic, self.names = vocabulary, idf, vectors, toxic, names
-        self.share, self.share_bare, self.knots, self.values = share, share_bare, knots, values
-        self.index = None
+    """Vocabulary, term weights, the examples' postings (example, term, weight), labels and ids, and the calibration."""
+
+    def __init__(self, terms, weight, postings, toxic, names, share, share_bare=None, knots=np.zeros(0), values=np.zeros(0)):
+        self.terms, self.weight, self.postings, self.toxic, self.names = terms, weight, postings, toxic, names
+        self.share, self.share_bare, self.knots, self.values = share, share if share_bare is None else share_bare, knots, values
+        self.made = None
 
     def __getstate__(self):
-        # examples travel sparse; each worker builds its own index
-        rows, columns = np.nonzero(self.vectors)
-        return self.__dict__ | {"index": None, "vectors": (self.vectors.shape, rows.astype(np.int32), columns.astype(np.int16), self.vectors[rows, columns])}
+        return self.__dict__ | {"made": None}  # each worker builds its own index
 
-    def __setstate__(self, state):
-        shape, rows, columns, values = state["vectors"]
-        dense = np.zeros(shape, np.float32)
-        dense[rows, columns] = values
-        self.__dict__ = state | {"vectors": dense}
+    def _parts(self) -> tuple[Vocabulary, BlockMaxIndex]:
+        if self.made is None:
+            self.made = Vocabulary(self.terms), BlockMaxIndex(*self.postings, len(self.terms))
+        return self.made
+
+    def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers (-1: none) and cosines of the k nearest examples of each text."""
+        vocabulary, index = self._parts()
+        doc, at, n = vocabulary.counts(texts)
+        return index.top(doc, at, weigh(doc, at, n, self.weight, len(texts)), len(texts), K)
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities, the k nearest examples' ids (-1: none) and their cosines."""
-        if self.index is None:
-            self.index = BlockMaxIndex(self.vectors)
-        who, cosine = self.index.top(weigh(self.vocabulary.counts(texts), self.idf), K)
+        who, cosine = self.nearest(texts)
         v = vote(who, cosine, self.toxic)
         some = ~np.isnan(v)
         out = np.full(len(texts), self.share_bare)
@@ -209,47 +295,33 @@ class Model:
         return out, np.where(who >= 0, self.names[who], -1) if len(self.names) else who, cosine
 
 
-def _terms_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, toxic = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()], batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo, hi in blocks(texts, 1_000_000):
-            doc, term = terms_of(texts[lo:hi])
-            seen = np.unique(np.stack([term, doc.astype(np.uint64)], 1), axis=0) if len(doc) else np.zeros((0, 2), np.uint64)
-            label = toxic[lo:hi][seen[:, 1].astype(np.int64)]
-            term, first = np.unique(seen[:, 0], return_index=True)
-            yes = np.add.reduceat(label, first) if len(term) else label
-            n = np.diff(first, append=len(seen))
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(yes.astype(np.int64)), pa.array((n - yes).astype(np.int64))], names=["term", "yes", "no"])
-
-
-def _holding(vocabulary: Vocabulary):
+def _holding(terms: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(vocabulary.terms), np.int64), 0
+        vocabulary = Vocabulary(terms)
+        total, rows = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
             rows += len(texts)
             for lo, hi in blocks(texts, 1_000_000):
-                total += (vocabulary.counts(texts[lo:hi]) > 0).sum(0)
+                total += np.bincount(vocabulary.counts(texts[lo:hi])[1], minlength=len(terms))
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *seen.tolist()], pa.int64()), pa.array([rows, *total[seen].tolist()], pa.int64())], names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], rows))], names=["term", "n"])
+        release()
 
     return count
 
 
-def _counted(vocabulary: Vocabulary):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            for lo, hi in blocks(texts, 1_000_000):
-                counts = vocabulary.counts(texts[lo:hi])
-                at = [np.flatnonzero(c).astype(np.int32) for c in counts]
-                n = [c[a].astype(np.int32) for c, a in zip(counts, at)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], names=["doc_id", "toxic", "at", "n"])
-
-    return count
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct term hashes and their counts of each example, as bytes."""
+    for batch in batches:
+        texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+        found = [np.unique(terms_of([t])[1], return_counts=True) for t in texts]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in found], pa.binary()), pa.array([n.astype(np.int64).tobytes() for _, n in found], pa.binary()),
+        ], names=["doc_id", "toxic", "terms", "counts"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES, telling: float = TELLING) -> Model:
     """Fits on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic): pass only rows that may be learned from."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     tally = dict(tuple(r) for r in known.groupBy("toxic").count().collect())
@@ -257,49 +329,38 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     share = n_yes / (n_yes + n_no) if n_yes + n_no else 0.0
     ordered = lambda v, n: known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = ordered(1, positives).unionByName(ordered(0, negatives))  # a bounded number of ids
-    examples = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    width = 0
-    if n_yes and n_no:
-        spark = docs.sparkSession
-        seen = examples.select("text", "toxic").mapInArrow(_terms_seen, "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-        a, b = F.col("yes") / F.lit(float(min(n_yes, positives))), F.col("no") / F.lit(float(min(n_no, negatives)))
-        uneven = (a - b) * F.log((a + 0.5 / positives) / (b + 0.5 / negatives))
-        seen = seen.where(F.col("yes") + F.col("no") >= LEAST_DOCS).withColumn("uneven", uneven).persist()
-        telling = [r[0] for r in seen.orderBy(F.desc("uneven"), "term").limit(TERMS).select("term").collect()]
-        common = [r[0] for r in seen.orderBy(F.desc(F.col("yes") + F.col("no")), "term").limit(COMMON).select("term").collect()]
-        seen.unpersist()
-        terms = np.array(sorted({*telling, *common}), np.int64).view(np.uint64)
-        width = len(terms)
-    if not width:  # nothing to learn from
-        return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), np.zeros((0, 0), np.float32), np.zeros(0), np.zeros(0, np.int64), share, share, np.zeros(0), np.zeros(0))
-    vocabulary = Vocabulary(terms)
-    held = spark.sparkContext.broadcast(vocabulary)
-    holding = docs.select(F.col("text").cast("string")).mapInArrow(lambda it: _holding(held.value)(it), "term long, n long").groupBy("term").agg(F.sum("n")).collect()
-    df, total = np.zeros(width), 1
-    for term, n in holding:
-        if term < 0:
-            total = n
-        else:
-            df[term] = n
-    idf = np.log((1 + total) / (1 + df)) + 0.05
-    # only the examples' term counts come to the driver, not their texts
-    sparse = examples.select("doc_id", "toxic", "text").mapInArrow(lambda it: _counted(held.value)(it), "doc_id long, toxic int, at array<int>, n array<int>")
-    rows = sorted({(r.doc_id, r.toxic, tuple(r["at"]), tuple(r["n"])) for r in sparse.collect()})
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", text_key(F.col("text"))).alias("text"))
+    # at most ``positives`` + ``negatives`` rows; their terms come to the driver, their texts do not
+    rows = sorted(map(tuple, one.select("doc_id", "toxic", "text").mapInArrow(_examples, "doc_id long, toxic int, terms binary, counts binary").collect())) if n_yes and n_no else []
+    if not any(r[2] for r in rows):  # nothing to learn from
+        return Model(np.zeros(0, np.uint64), np.zeros(0), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.zeros(0), np.zeros(0, np.int64), share)
+    hashes, n = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in ((2, np.uint64), (3, np.int64)))
+    example = np.repeat(np.arange(len(rows)), [len(r[2]) // 8 for r in rows])
     toxic, names = np.array([r[1] for r in rows], np.float64), np.array([r[0] for r in rows], np.int64)
-    counts = np.zeros((len(rows), width), np.int32)
-    for i, (_, _, at, n) in enumerate(rows):
-        counts[i, list(at)] = n
-    vectors = weigh(counts, idf)
-    weight = np.where(toxic > 0, n_yes / max(1, toxic.sum()), n_no / max(1, (1 - toxic).sum()))
-    index, v = BlockMaxIndex(vectors), np.full(len(rows), np.nan)
-    for lo in range(0, len(rows), 500):
-        part = np.arange(lo, min(len(rows), lo + 500))
-        v[part] = vote(*index.top(vectors[part], K, without=part), toxic)
+    del rows
+    terms, at = np.unique(hashes, return_inverse=True)
+    at = at.ravel()
+    held = docs.sparkSession.sparkContext.broadcast(terms)
+    df, total = np.zeros(len(terms)), 1
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(lambda it: _holding(held.value)(it), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    for batch in counted.toArrow().to_batches():  # a row a term of the examples at most
+        term, holding = (c.to_numpy() for c in batch.columns)
+        df[term[term >= 0]] = holding[term >= 0]
+        total += int(holding[term < 0].sum())
+    yes, no = np.bincount(at, toxic[example], len(terms)), np.bincount(at, 1 - toxic[example], len(terms))
+    a, b = yes / max(1, toxic.sum()), no / max(1, (1 - toxic).sum())
+    uneven = (a - b) * np.log((a + 0.5 / positives) / (b + 0.5 / negatives))
+    weight = (np.log((1 + total) / (1 + df)) + 0.05) * np.maximum(uneven, 0) ** telling
+    x = weigh(example, at, n, weight, len(names))
+    model = Model(terms, weight, (example, at, x), toxic, names, share)
+    known_weight = np.where(toxic > 0, n_yes / max(1, toxic.sum()), n_no / max(1, (1 - toxic).sum()))
+    v = vote(*model._parts()[1].top(example, at, x, len(names), K, without=np.arange(len(names))), toxic)
     some = ~np.isnan(v)
-    bare = (weight * toxic)[~some].sum() + share
-    bare /= weight[~some].sum() + 1
-    knots, values = monotone(v[some], toxic[some], weight[some]) if some.any() else (np.zeros(0), np.zeros(0))
-    return Model(vocabulary, idf, vectors, toxic, names, share, float(bare), knots, values)
+    model.share_bare = float(((known_weight * toxic)[~some].sum() + share) / (known_weight[~some].sum() + 1))
+    if some.any():
+        model.knots, model.values = monotone(v[some], toxic[some], known_weight[some])
+    return model
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -316,6 +377,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
                     batch.column(0).slice(lo, hi - lo), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(near, pa.list_(pa.int64())),
                     pa.array([[float(x) for x in c[: len(n)]] for c, n in zip(cosine, near)], pa.list_(pa.float64())),
                 ], names=["doc_id", "score", "predicted", "evidence_ids", "evidence_cosines"])
+        release()
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return source.mapInArrow(judge, "doc_id long, score double, predicted int, evidence_ids array<long>, evidence_cosines array<double>")

@@ -147,14 +147,89 @@ def test_quality_odd_rows(spark):
 
 def test_block_max_is_exact():
     rng = np.random.default_rng(1)
-    x = np.where(rng.random((500, 60)) < 0.1, rng.random((500, 60)), 0).astype(np.float32)
+    x = np.where(rng.random((500, 60)) < 0.1, rng.random((500, 60)), 0)
+    x[300:] *= np.where(rng.random((200, 60)) < 0.5, 0.01, 1)
+    x[7] = x[8] = x[9]  # ties
     x /= np.maximum(np.sqrt((x * x).sum(1)), 1e-9)[:, None]
-    index = toxicity.BlockMaxIndex(x, block=16)
-    who, cosine = index.top(x[:80], 7)
-    plain = np.sort(x[:80] @ x.T, 1)[:, ::-1][:, :7]
-    live = x[:80].any(1)
-    assert np.allclose(cosine[live], np.maximum(plain[live], 0), atol=1e-5)
-    assert all(i in w for i, w, ok in zip(range(80), who, live) if ok)
+    example, term = np.nonzero(x)
+    plain = x[:80] @ x.T
+    for columns in (0, 5, 60):
+        index = toxicity.BlockMaxIndex(example, term, x[example, term], 60, block=16, columns=columns)
+        some = example < 80
+        who, cosine = index.top(example[some], term[some], x[example[some], term[some]], 80, 7)
+        assert np.allclose(cosine, np.sort(plain, 1)[:, ::-1][:, :7])
+        assert all(i in w for i, w in enumerate(who) if x[i].any())
+        assert who[7].tolist()[:3] == who[8].tolist()[:3] == [7, 8, 9]
+        out, rest = index.top(example[some], term[some], x[example[some], term[some]], 80, 7, without=np.arange(80))
+        np.fill_diagonal(plain, 0)
+        assert np.allclose(rest, np.sort(plain, 1)[:, ::-1][:, :7]) and not any(i in w for i, w in enumerate(out))
+        plain = x[:80] @ x.T
+        assert 0 < index.read < index.held
+
+
+def plain_terms(text):
+    from collections import Counter
+
+    out = Counter()
+    for w in re.findall(rb"[a-z\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())):
+        out.update([w] * (len(w) >= 3) + [(k, w[:k]) for k in (4, 5, 6) if len(w) > k])
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_toxicity_query_against_plain_python(spark):
+    import math
+
+    from quillsieve.llm.queries import op6_toxicity
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    held_out = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in texts}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.doc_id in texts and not held_out[r.doc_id]}
+    terms = {i: plain_terms(t) for i, t in texts.items()}
+    names = sorted(labels)
+    yes, no = sum(labels.values()), len(labels) - sum(labels.values())
+    weight = {}
+    for t in {t for i in names for t in terms[i]}:
+        a, b = sum(labels[i] for i in names if t in terms[i]) / yes, sum(1 - labels[i] for i in names if t in terms[i]) / no
+        idf = math.log((2 + len(texts)) / (1 + sum(t in x for x in terms.values()))) + 0.05
+        weight[t] = idf * max(0.0, (a - b) * math.log((a + 0.5 / toxicity.POSITIVES) / (b + 0.5 / toxicity.NEGATIVES))) ** toxicity.TELLING
+
+    def vector(i):
+        x = {t: (1 + math.log(n)) * weight[t] for t, n in terms[i].items() if weight.get(t)}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        return {t: v / norm for t, v in x.items()}
+
+    vectors = {i: vector(i) for i in texts}
+
+    def nearest(i, leave=None):
+        near = sorted((-sum(v * vectors[e][t] for t, v in vectors[i].items() if t in vectors[e]), e) for e in names if e != leave)
+        return [(e, -c) for c, e in near[: toxicity.K] if c < 0]
+
+    def share(near):
+        return sum(c**4 * labels[e] for e, c in near) / sum(c**4 for _, c in near) if near else math.nan
+
+    left_out = np.array([share(nearest(i, i)) for i in names])
+    some, y = ~np.isnan(left_out), np.array([labels[i] for i in names], float)
+    knots, values = toxicity.monotone(left_out[some], y[some], np.ones(int(some.sum())))
+    bare = (y[~some].sum() + yes / (yes + no)) / ((~some).sum() + 1)
+    got = {r.doc_id: r for r in op6_toxicity(spark, folder).collect()}
+    assert set(got) == set(texts)
+    for i, r in got.items():
+        near = nearest(i)
+        assert r.evidence_cosines == pytest.approx([c for _, c in near[:3]], abs=1e-9)
+        assert [sum(v * vectors[n][t] for t, v in vectors[i].items() if t in vectors[n]) for n in r.evidence_ids] == pytest.approx(r.evidence_cosines, abs=1e-9)
+        assert r.score == pytest.approx(float(np.interp(share(near), knots, values)) if near else bare, abs=1e-6)
+        assert r.held_out == held_out[i] and r.predicted == (r.score >= 0.7)
+
+
+def test_one_example_an_id_and_equal_texts_alike(spark):
+    docs = spark.createDataFrame([(1, "scum and fool"), (1, "scum and fool"), (1, "other words"), (2, "plain words here"), (3, "scum and fool"), (4, "Scum"), (5, "  ")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.names.tolist() == [1, 2] and model.toxic.tolist() == [1.0, 0.0]
+    got = [(r.doc_id, r.score) for r in toxicity.scored(docs, model).collect()]
+    assert len({s for i, s in got if i == 3}) == 1 and len(got) == 7 and all(0 <= s <= 1 for _, s in got)
 
 
 def test_terms_against_plain_python():
