@@ -3,7 +3,8 @@ import hashlib
 import numpy as np
 import pytest
 
-from quillsieve.llm.edit_embedding import fingerprint_rows, fingerprints, near, near_pairs, text_classes
+from quillsieve.llm import edit_embedding as ee
+from quillsieve.llm.edit_embedding import band_keys, fingerprint_rows, fingerprints, near, near_pairs, text_classes
 
 
 def _codes(t):
@@ -85,3 +86,80 @@ def test_near_copies_behind_an_unlike_leader(spark):
         assert set(got) == wanted and len(wanted) >= 4
         assert all(x == pytest.approx(near(prints[i], prints[j])) for (i, j), x in got.items())
     assert {(r.rep, r.doc_id) for r in text_classes(docs).collect()} == {(i, i) for i in ids} | {(1, 201)}
+
+
+def plain_fingerprint(text):
+    """The walk, one character and one step at a time."""
+    codes = [ord(c) for c in text]
+    level = max(4, (len(codes) - 1).bit_length()) if codes else 4
+    blocks, out, m = [], "", 2**32
+    for lo in range(0, len(codes), ee.BLOCK):
+        now, spots = 0, []
+        for i, c in enumerate(codes[lo : lo + ee.BLOCK], lo):
+            spots.append((now, i))
+            kind, at = (c * 2654435761 % m) >> 24, now % ee.PERIOD
+            while not ee._MOVES[at][kind]:
+                at, now = at + 1, now + 1
+            now += 1
+        blocks.append((spots, now))
+    for scale in (level, level + 1):
+        for t in ee._TIMES:
+            block, local = divmod(int(t * 2**scale), 2 * ee.BLOCK)
+            if block >= len(blocks) or block == len(blocks) - 1 and local >= blocks[block][1]:
+                out += "-"
+                continue
+            i = max(i for start, i in blocks[block][0] if start <= local)
+            a, b, c = (codes[min(i + k, len(codes) - 1)] for k in range(3))
+            h = (a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) % m
+            h = (h ^ h >> 15) * 0x2C1B3C6D % m
+            out += f"{(h ^ h >> 16) >> 12 & 15:x}"
+    return f"{level:02x}{out}"
+
+
+def test_walk_against_plain_python(monkeypatch):
+    for block in (ee.BLOCK, 64):
+        monkeypatch.setattr(ee, "BLOCK", block)
+        texts = _texts(12, 6) + ["", "x", "🙂", "same " * 60, "a" * 700]
+        assert fingerprints([_codes(t) for t in texts]) == [plain_fingerprint(t) for t in texts]
+
+
+def test_copies_share_a_band_and_strangers_hardly():
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list("abcdefgh "), int(n))) for n in rng.integers(10, 3000, 600)]
+    edited = []
+    for t in texts:
+        t = list(t)
+        for p in rng.integers(0, len(t), max(1, len(t) // 150)):
+            t[p] = str(rng.choice(["", "zz", "#"]))
+        edited.append("".join(t)[: int(len(t) * rng.uniform(0.78, 1))])
+    a, b = (fingerprints([_codes(t) for t in x]) for x in (texts, edited))
+    close = [i for i in range(600) if near(a[i], b[i]) >= 0.75]
+    met = [bool(set(band_keys(a[i])) & set(band_keys(b[i]))) for i in close]
+    assert len(close) > 300 and np.mean(met) > 0.97
+    keys = [set(band_keys(x)) for x in a]
+    assert sum(bool(keys[i] & keys[i + 1]) for i in range(599)) < 6
+
+
+def test_near_pairs_link_what_all_pairs_link(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefgh "), int(n))) for n in rng.integers(100, 1200, 150)]
+    for t in list(texts):
+        for _ in range(int(rng.integers(0, 4))):
+            p = int(rng.integers(0, len(t)))
+            texts.append(t[:p] + "#" + t[p + int(rng.integers(0, 3)) :])
+    texts += texts[:20] + [None, "", ""]
+    prints = fingerprints([_codes(t or "") for t in texts])
+    wanted = {(i, j) for i in range(len(texts)) for j in range(i) if (texts[i] or "") != (texts[j] or "") and near(prints[i], prints[j]) >= 0.75}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = {(r.member, r.leader): r.likeness for r in near_pairs(docs, 0.75).collect()}
+    assert all(near(prints[i], prints[j]) == pytest.approx(x) and x >= 0.75 for (i, j), x in pairs.items())
+    for i, j in [*pairs, *((r.doc_id, r.rep) for r in text_classes(docs).collect())]:
+        parent[max(find(i), find(j))] = min(find(i), find(j))
+    assert sum(find(i) == find(j) for i, j in wanted) >= 0.98 * len(wanted) > 100
