@@ -1,6 +1,9 @@
+import os
+
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillsieve.llm import linededup, mixing
 
@@ -125,11 +128,37 @@ def test_targets_are_met(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
-def test_missed_targets_are_reported(spark):
+def test_a_target_too_large_shrinks_the_sample(spark):
     docs = spark.createDataFrame([(i, "w" * 400, "en", "small" if i < 10 else "large") for i in range(100)], "doc_id long, text string, lang string, source string")
     got = {r.value: r for r in mixing.achieved(docs, {"source": {"small": 0.5, "large": 0.5}}, keep=0.7).where("dimension = 'source'").collect()}
     assert {v: r.target for v, r in got.items()} == {"small": 0.5, "large": 0.5}
-    assert got["small"].expected == pytest.approx(10 / 70) and got["large"].expected == pytest.approx(60 / 70)
+    assert all(r.expected == pytest.approx(0.5, abs=mixing.TOLERANCE) for r in got.values())
+    assert got["small"].size == pytest.approx(max(s for s in mixing.sizes(0.7) if s <= 0.2), abs=1e-6)
+
+
+def test_contradicting_targets_are_reported(spark):
+    docs = spark.createDataFrame([(i, "w" * 400, "en" if i < 50 else "de", "a" if i < 50 else "b") for i in range(100)], "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}}
+    with pytest.warns(UserWarning, match="targets"):
+        got = {(r.dimension, r.value): r for r in mixing.achieved(docs, targets, keep=0.5).collect()}
+    assert abs(got["source", "a"].expected - 0.9) > 0.05 or abs(got["lang", "en"].expected - 0.1) > 0.05
+    assert sum(r.expected for (d, _), r in got.items() if d == "source") == pytest.approx(1)
+
+
+def test_topics_may_be_given_and_tokens_are_near_the_tokenizers(spark):
+    from tokenizers import Tokenizer
+
+    from quillsieve.llm.tokenize import default_path
+
+    docs = _docs(spark).withColumn("theme", F.when(F.col("doc_id") % 2 == 0, "even"))
+    out = mixing.mixed(docs, topic=F.col("theme"))
+    assert {r.topic for r in out.select("topic").distinct().collect()} == {"even", "(none)"}
+    if os.path.isdir("/root/testdata/sf0.001"):
+        rows = mixing.mixed(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select("doc.text", "lang", "tokens").collect()
+        tokenizer = Tokenizer.from_file(default_path())
+        for lang in {r.lang for r in rows}:
+            some = [r for r in rows if r.lang == lang]
+            assert sum(r.tokens for r in some) == pytest.approx(sum(len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) for r in some), rel=0.12)
 
 
 def test_mixing_empty(spark):
