@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.words import text_key
+from quillsieve.llm.words import release, text_key
 from quillsieve.plans.cut import scratch, written
 
 WINDOW, MEAN_LINES, MOST_LINES = 2, 3, 64
@@ -95,7 +95,7 @@ def rolled(text: bytes) -> list[tuple[int, int]]:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         ids, keys, at, hashes = [], [], [], []
         for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
             for k, h in rolled(text or b""):
@@ -104,10 +104,11 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at.append(k)
                 hashes.append(h)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, keys, at, hashes)], names=["doc_id", "key", "at", "hash"])
+    release()
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         rows = []
         for doc_id, key, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
             lines = (text or b"").split(b"\n")
@@ -116,6 +117,7 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows)) if rows else [[]] * 6
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "key", "at", "hash", "first", "chunk"])
+    release()
 
 
 def _sized(lists: DataFrame, column: str) -> DataFrame:

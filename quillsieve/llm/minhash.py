@@ -73,7 +73,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         texts = _texts(batch.column(1))
         for lo, hi in blocks(texts):
             sets = shingle_sets(texts[lo:hi])
@@ -101,7 +101,7 @@ def _likely(threshold: float):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         texts = _texts(batch.column(2))
         for lo, hi in blocks(texts):
             sets = [s.view(np.int64) for s in shingle_sets(texts[lo:hi])]

@@ -8,8 +8,9 @@ emitted; room of fewer than ``min_cut`` ids is padded rather than filled with a
 sliver.  What the partitions leave open is merged in rounds of bounded groups,
 so no task ever gets more than ``GROUP`` windows; the last round cuts freely.
 
-Defined results: a null or empty text has only the closing id; an empty table
-gives no rows; repeated rows are packed once each; other columns are ignored.
+Defined results: a null or empty text has only the closing id; a text of any
+length is cut into as many windows as it takes, its ids held by one task; an
+empty table gives no rows; repeated rows are packed once each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,18 +123,20 @@ def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048,
         encoder, end = opened(tokenizer or default_path()), np.array([end_id], np.int32)
         packer = Packer(capacity, open_windows, min_cut, TaskContext.get().partitionId() << 32)
         gc.disable()
-        for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                part = batch.slice(at, block)
-                texts = part.column(1).cast(pa.binary()).to_pylist()
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
-                    ids = np.concatenate([ids, end])
-                    packer.add(doc_id, 0, ids, len(ids))
-            yield _batch(packer.out)
-            packer.out = []
-        gc.enable()
-        close()
-        release()
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, block):
+                    part = batch.slice(at, block)
+                    texts = part.column(1).cast(pa.binary()).to_pylist()
+                    for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
+                        ids = np.concatenate([ids, end])
+                        packer.add(doc_id, 0, ids, len(ids))
+                yield _batch(packer.out)
+                packer.out = []
+        finally:  # a stopped task, too, leaves its worker as it was
+            gc.enable()
+            close()
+            release()
         packer.out += packer.left()
         yield _batch(packer.out)
 

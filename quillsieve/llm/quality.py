@@ -187,9 +187,11 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, turns: int = 200, ridge: float = 1e
 
 def _profiles(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, dict]]:
     for batch in batches:
-        texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
-        for lo, hi in blocks(texts):
-            yield batch.slice(lo, hi - lo), profile(texts[lo:hi])
+        for start in range(0, batch.num_rows, 1000):
+            part = batch.slice(start, 1000)
+            texts = [t or b"" for t in part.column(column).cast(pa.binary()).to_pylist()]
+            for lo, hi in blocks(texts):
+                yield part.slice(lo, hi - lo), profile(texts[lo:hi])
     release()
 
 
@@ -250,13 +252,15 @@ def _judge(model: Model, text: Column) -> Column:
     def judge(texts):
         import pandas as pd
 
-        raw, parts = [t.encode() if t else b"" for t in texts], []
-        for lo, hi in blocks(raw):
-            p = profile(raw[lo:hi])
-            v = votes(p)
-            prior = np.where(p["n"] > 0, posterior[v @ _CODES], 0.0)
-            score = prior if weights is None else 1 / (1 + np.exp(-np.clip(features(p) @ weights[:-1] + weights[-1], -50, 50)))
-            parts.append(pd.DataFrame({"votes": ["".join("-?+"[x] for x in r) for r in v], "posterior": prior, "score": np.where(p["n"] > 0, score, 0.0)}))
+        parts = []
+        for start in range(0, len(texts), 1000):  # few texts at once are held twice
+            raw = [t.encode() if t else b"" for t in texts.iloc[start : start + 1000]]
+            for lo, hi in blocks(raw):
+                p = profile(raw[lo:hi])
+                v = votes(p)
+                prior = np.where(p["n"] > 0, posterior[v @ _CODES], 0.0)
+                score = prior if weights is None else 1 / (1 + np.exp(-np.clip(features(p) @ weights[:-1] + weights[-1], -50, 50)))
+                parts.append(pd.DataFrame({"votes": ["".join("-?+"[x] for x in r) for r in v], "posterior": prior, "score": np.where(p["n"] > 0, score, 0.0)}))
         release()
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"votes": [], "posterior": [], "score": []})
 

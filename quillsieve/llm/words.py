@@ -95,7 +95,7 @@ def release() -> None:
         pass
 
 
-def blocks(texts: list[bytes], limit: int = 1_000_000, rows: int = 1000):
+def blocks(texts: list[bytes], limit: int = 250_000, rows: int = 500):
     """Ranges of ``texts`` of about ``limit`` bytes and at most ``rows`` texts."""
     start = total = 0
     for i, t in enumerate(texts):
