@@ -149,9 +149,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def line_deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages removed from ``text`` and ``chunks_removed`` added."""
 
-    @F.pandas_udf("string")
-    def cut(texts, gone):
-        return texts.__class__([None if t is None or g is None else without(t.encode(), {int(x) for x in g}).decode() for t, g in zip(texts, gone)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        pairs = zip(texts.cast(pa.binary()).to_pylist(), gone.to_pylist())
+        out = [None if t is None or g is None else without(t, set(g)).decode() for t, g in pairs]
+        release()
+        return pa.array(out, pa.string())
 
     gone = repeated_chunks(docs).select(F.col("doc_id").alias("gone_id__"), F.col("key").alias("gone_key__"), F.col("gone").alias("gone__"))
     joined = docs.join(_sized(gone, "gone__"), (F.col("doc_id").cast("long") == F.col("gone_id__")) & (text_key(F.col("text")) == F.col("gone_key__")), "left")

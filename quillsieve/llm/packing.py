@@ -120,6 +120,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048,
 
         from quillsieve.llm.tokenize import close, default_path, opened
 
+        release()  # what earlier tasks left in this worker
         encoder, end = opened(tokenizer or default_path()), np.array([end_id], np.int32)
         packer = Packer(capacity, open_windows, min_cut, TaskContext.get().partitionId() << 32)
         gc.disable()

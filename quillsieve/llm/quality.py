@@ -248,21 +248,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 def _judge(model: Model, text: Column) -> Column:
     posterior, weights = model.posterior, model.weights
 
-    @F.pandas_udf("struct<votes: string, posterior: double, score: double>")
-    def judge(texts):
-        import pandas as pd
-
+    @F.arrow_udf("struct<votes: string, posterior: double, score: double>")
+    def judge(texts: pa.Array) -> pa.Array:
         parts = []
         for start in range(0, len(texts), 1000):  # few texts at once are held twice
-            raw = [t.encode() if t else b"" for t in texts.iloc[start : start + 1000]]
+            raw = [t or b"" for t in texts.slice(start, 1000).cast(pa.binary()).to_pylist()]
             for lo, hi in blocks(raw):
                 p = profile(raw[lo:hi])
                 v = votes(p)
                 prior = np.where(p["n"] > 0, posterior[v @ _CODES], 0.0)
                 score = prior if weights is None else 1 / (1 + np.exp(-np.clip(features(p) @ weights[:-1] + weights[-1], -50, 50)))
-                parts.append(pd.DataFrame({"votes": ["".join("-?+"[x] for x in r) for r in v], "posterior": prior, "score": np.where(p["n"] > 0, score, 0.0)}))
+                parts.append((["".join("-?+"[x] for x in r) for r in v], prior, np.where(p["n"] > 0, score, 0.0)))
         release()
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"votes": [], "posterior": [], "score": []})
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * 3
+        return pa.StructArray.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.float64(), pa.float64()))], names=["votes", "posterior", "score"])
 
     return judge(text.cast("string"))
 

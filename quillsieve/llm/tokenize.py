@@ -19,7 +19,7 @@ import regex
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed: the file's own split pattern
 LONGEST = 48
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 _NONE = np.int32(2**31 - 1)
 
 
