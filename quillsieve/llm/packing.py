@@ -106,7 +106,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048, open_windows: int = 24, min_cut: int = 16, end_id: int = 1, block: int = 500) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, *, capacity: int = 2048, open_windows: int = 24, min_cut: int = 16, end_id: int = 1, block: int = 300) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) in sequences of ``capacity`` ids, one row per piece.
 
     Tokenising and packing are one pass over the scan; only the open windows'

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
@@ -19,7 +20,7 @@ import regex
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed: the file's own split pattern
 LONGEST = 48
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -34,10 +35,7 @@ class WordBPE:
     """Encodes texts (UTF-8 bytes) to ids, exactly as the tokenizer file does."""
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.cached_words = cached_words
+        self.path, self.cached_words = path, cached_words
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.specials = [t["content"].encode() for t in spec["added_tokens"]]
@@ -60,6 +58,13 @@ class WordBPE:
         self.pattern = regex.compile(PIECES)
         self._clear()
 
+    @cached_property
+    def whole(self):
+        """The library's own encoder, for words that need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _clear(self) -> None:
         self.at: dict[bytes, int] = {}
         self.start = np.zeros(1 << 16, np.int64)
@@ -235,6 +240,7 @@ def close() -> None:
     """Forgets the worker's table, so an idle worker holds no memory for it."""
     for encoder in _OPEN.values():
         encoder._clear()
+        encoder.__dict__.pop("whole", None)
 
 
 def default_path() -> str:
