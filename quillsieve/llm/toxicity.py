@@ -39,10 +39,11 @@ from pyspark.sql import functions as F
 
 from quillsieve.llm.words import _VALUE, blocks, mix, release, text_key, weights
 
-POSITIVES, NEGATIVES, TELLING = 1500, 2500, 0.9
+POSITIVES, NEGATIVES, TELLING = 800, 2400, 0.9
+UNSEEN = (1 / 5000, 1 / 8000)  # shares of toxic and other examples that a term is taken to have besides
 STEMS = (4, 5, 6)
 K, BLOCK, AHEAD, THRESHOLD = 15, 64, 4, 0.7
-COLUMNS, BATCH, SLACK = 1024, 128, np.float32(2e-5)  # the slack is more than float32 sums lose
+COLUMNS, BATCH, SLACK = 1024, 64, np.float32(2e-5)  # the slack is more than float32 sums lose
 
 _LETTER = np.zeros(256, bool)
 _LETTER[128:] = True
@@ -278,11 +279,11 @@ class Model:
             self.made = Vocabulary(self.terms), BlockMaxIndex(*self.postings, len(self.terms))
         return self.made
 
-    def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers (-1: none) and cosines of the k nearest examples of each text."""
+    def nearest(self, texts: list[bytes], without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers (-1: none) and cosines of the k nearest examples of each text, but for the examples ``without``."""
         vocabulary, index = self._parts()
         doc, at, n = vocabulary.counts(texts)
-        return index.top(doc, at, weigh(doc, at, n, self.weight, len(texts)), len(texts), K)
+        return index.top(doc, at, weigh(doc, at, n, self.weight, len(texts)), len(texts), K, without)
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities, the k nearest examples' ids (-1: none) and their cosines."""
@@ -302,7 +303,7 @@ def _holding(terms: np.ndarray):
         for batch in batches:
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
             rows += len(texts)
-            for lo, hi in blocks(texts, 1_000_000):
+            for lo, hi in blocks(texts):
                 total += np.bincount(vocabulary.counts(texts[lo:hi])[1], minlength=len(terms))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], rows))], names=["term", "n"])
@@ -311,13 +312,28 @@ def _holding(terms: np.ndarray):
     return count
 
 
+def _left_out(held):
+    """The vote of each example (doc_id, text) without itself."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in batches:
+            texts, own = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], np.searchsorted(model.names, batch.column(0).to_numpy())
+            for lo, hi in blocks(texts):
+                v = vote(*model.nearest(texts[lo:hi], own[lo:hi]), model.toxic)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(v)], names=["doc_id", "vote"])
+        release()
+
+    return judge
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct term hashes and their counts of each example, as bytes."""
     for batch in batches:
         texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
         found = [np.unique(terms_of([t])[1], return_counts=True) for t in texts]
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in found], pa.binary()), pa.array([n.astype(np.int64).tobytes() for _, n in found], pa.binary()),
+            batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in found], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary()),
         ], names=["doc_id", "toxic", "terms", "counts"])
 
 
@@ -335,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     rows = sorted(map(tuple, one.select("doc_id", "toxic", "text").mapInArrow(_examples, "doc_id long, toxic int, terms binary, counts binary").collect())) if n_yes and n_no else []
     if not any(r[2] for r in rows):  # nothing to learn from
         return Model(np.zeros(0, np.uint64), np.zeros(0), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.zeros(0), np.zeros(0, np.int64), share)
-    hashes, n = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in ((2, np.uint64), (3, np.int64)))
+    hashes, n = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in ((2, np.uint64), (3, np.int32)))
     example = np.repeat(np.arange(len(rows)), [len(r[2]) // 8 for r in rows])
     toxic, names = np.array([r[1] for r in rows], np.float64), np.array([r[0] for r in rows], np.int64)
     del rows
@@ -350,12 +366,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         total += int(holding[term < 0].sum())
     yes, no = np.bincount(at, toxic[example], len(terms)), np.bincount(at, 1 - toxic[example], len(terms))
     a, b = yes / max(1, toxic.sum()), no / max(1, (1 - toxic).sum())
-    uneven = (a - b) * np.log((a + 0.5 / positives) / (b + 0.5 / negatives))
+    uneven = (a - b) * np.log((a + UNSEEN[0]) / (b + UNSEEN[1]))
     weight = (np.log((1 + total) / (1 + df)) + 0.05) * np.maximum(uneven, 0) ** telling
     x = weigh(example, at, n, weight, len(names))
     model = Model(terms, weight, (example, at, x), toxic, names, share)
     known_weight = np.where(toxic > 0, n_yes / max(1, toxic.sum()), n_no / max(1, (1 - toxic).sum()))
-    v = vote(*model._parts()[1].top(example, at, x, len(names), K, without=np.arange(len(names))), toxic)
+    everywhere = docs.sparkSession.sparkContext.broadcast(model)
+    left_out = dict(map(tuple, one.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _left_out(everywhere)(it), "doc_id long, vote double").collect()))
+    v = np.array([left_out[i] for i in names.tolist()])
     some = ~np.isnan(v)
     model.share_bare = float(((known_weight * toxic)[~some].sum() + share) / (known_weight[~some].sum() + 1))
     if some.any():
@@ -370,7 +388,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for lo, hi in blocks(texts, 1_000_000):
+            for lo, hi in blocks(texts):
                 score, who, cosine = held.value.score(texts[lo:hi])
                 near = [[int(i) for i in w if i >= 0][:3] for w in who]
                 yield pa.RecordBatch.from_arrays([

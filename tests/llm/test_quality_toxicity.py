@@ -193,7 +193,7 @@ def test_toxicity_query_against_plain_python(spark):
     for t in {t for i in names for t in terms[i]}:
         a, b = sum(labels[i] for i in names if t in terms[i]) / yes, sum(1 - labels[i] for i in names if t in terms[i]) / no
         idf = math.log((2 + len(texts)) / (1 + sum(t in x for x in terms.values()))) + 0.05
-        weight[t] = idf * max(0.0, (a - b) * math.log((a + 0.5 / toxicity.POSITIVES) / (b + 0.5 / toxicity.NEGATIVES))) ** toxicity.TELLING
+        weight[t] = idf * max(0.0, (a - b) * math.log((a + toxicity.UNSEEN[0]) / (b + toxicity.UNSEEN[1]))) ** toxicity.TELLING
 
     def vector(i):
         x = {t: (1 + math.log(n)) * weight[t] for t, n in terms[i].items() if weight.get(t)}
