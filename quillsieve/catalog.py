@@ -183,9 +183,9 @@ def _(s):
 
 
 @query("audit_reasons", f"""with {_AUDITED}, listed as (
-      select image_id, 0 as part, ann_seq as a, r.k as b, concat(r.n, ' ', ann_seq) as reason from flagged, (values (1, 'centre_outside'), (2, 'degenerate'), (3, 'edge_outside'), (4, 'aspect'), (5, 'giant'), (6, 'tiny')) r(k, n)
+      select image_id, 0 as part, ann_seq as a, r.k as b, concat(r.n, ' ', ann_seq) as reason from flagged, (values (1, 'centre_outside'), (2, 'degenerate'), (3, 'edge_outside'), (4, 'aspect'), (5, 'giant cluster'), (6, 'tiny')) r(k, n)
       where case r.k when 1 then centre_outside when 2 then degenerate when 3 then edge_outside when 4 then aspect when 5 then giant else tiny end
-      union all select image_id, 1, a_seq, b_seq, concat('overlap ', a_seq, '/', b_seq) from pairs),
+      union all select image_id, 1, a_seq, b_seq, concat('overlapping ', a_seq, '/', b_seq) from pairs),
     texts as (select image_id, string_agg(reason, '; ' order by part, a, b) as reasons from listed group by 1)
     select image_id, verdict, concat_ws('; ', reasons, case when n_boxes = 0 then 'no boxes' end) as reasons from audited left join texts using (image_id)""")
 def _(s):
@@ -567,7 +567,7 @@ def _(s):
     return dedup.cross_dataset(rows.where("dataset_id = 'DS002'"), rows.where("dataset_id <> 'DS002'"))
 
 
-@query("earliest_master", "select image_id, dataset_id, file_hash, row_number() over (partition by file_hash order by dataset_id, image_id) = 1 as kept from fx_images")
+@query("earliest_master", "select image_id, dataset_id, file_hash, file_hash is null or row_number() over (partition by file_hash order by dataset_id, image_id) = 1 as kept from fx_images")
 def _(s):
     return dedup.earliest_master(s.images)
 
@@ -702,7 +702,7 @@ def _(s):
     return release.yolo_lines(audit.clinical_boxes(s.boxes), policy.CLASSES).select("image_id", "label_text")
 
 
-@query("stratified_sample")
+@query("stratified_sample", "select dataset_id, image_id, pick from (select dataset_id, image_id, row_number() over (partition by dataset_id order by md5(concat('42:', image_id)), image_id) as pick from fx_images) where pick <= 20")
 def _(s):
     return stats.stratified(s.images, "dataset_id", "image_id", 20).select("dataset_id", "image_id", "pick")
 
@@ -786,6 +786,6 @@ def _(s):
     return agreement.unscored(s.images.select("image_id"), stored)
 
 
-@query("random_sample")
+@query("random_sample", "select image_id, dataset_id from fx_images order by md5(concat('42:', image_id)), image_id limit 50")
 def _(s):
-    return stats.random_rows(s.images.select("image_id", "dataset_id"), 50, 42)
+    return stats.random_rows(s.images.select("image_id", "dataset_id"), 50, 42, "image_id")

@@ -13,6 +13,7 @@ _BOX = ("xc", "yc", "w", "h")
 #: Rules by verdict, in the order in which reasons are listed; texts are this engine's own.
 REJECTS = ("centre_outside", "degenerate", "edge_outside", "tiny")
 REVIEWS = ("aspect", "giant")
+_REASON = {"giant": "giant cluster"}  # scoring v1 looks for "cluster" and "overlapping" in reasons
 
 
 def flags(policy: Policy = DEFAULT) -> dict[str, Column]:
@@ -68,14 +69,14 @@ def image_audit(images: DataFrame, boxes: DataFrame, policy: Policy = DEFAULT) -
     bad = F.coalesce(F.col("payload") != "ok", F.lit(False)) if "payload" in boxes.columns else F.lit(False)
     seen = box_flags(boxes, policy).withColumn("bad_payload", bad)
     order = ("bad_payload", "centre_outside", "degenerate", "edge_outside", "aspect", "giant", "tiny")
-    reason = F.filter(F.array(*[F.when(F.col(n), F.concat(F.lit(n + " "), F.col("ann_seq").cast("string"))) for n in order]), lambda x: x.isNotNull())
+    reason = F.filter(F.array(*[F.when(F.col(n), F.concat(F.lit(_REASON.get(n, n) + " "), F.col("ann_seq").cast("string"))) for n in order]), lambda x: x.isNotNull())
     seen = seen.withColumn("reasons", reason).withColumn("rejecting", F.greatest("bad_payload", *REJECTS)).withColumn("reviewing", F.greatest(*REVIEWS))
     per = seen.groupBy("image_id").agg(
         F.max("rejecting").alias("rejecting"), F.max("reviewing").alias("reviewing"), F.count_if(~F.col("bad_payload")).alias("n_boxes"),
         F.array_sort(F.collect_list(F.struct("ann_seq", *_BOX, "reasons", "bad_payload"))).alias("boxes"),
     )
     usable = F.filter("boxes", lambda b: ~b["bad_payload"])
-    pairs = F.flatten(F.transform(usable, lambda a: F.transform(F.filter(usable, lambda b: (a["ann_seq"] < b["ann_seq"]) & (struct_iou(a, b) > policy.overlap_iou)), lambda b: F.concat(F.lit("overlap "), a["ann_seq"].cast("string"), F.lit("/"), b["ann_seq"].cast("string")))))
+    pairs = F.flatten(F.transform(usable, lambda a: F.transform(F.filter(usable, lambda b: (a["ann_seq"] < b["ann_seq"]) & (struct_iou(a, b) > policy.overlap_iou)), lambda b: F.concat(F.lit("overlapping "), a["ann_seq"].cast("string"), F.lit("/"), b["ann_seq"].cast("string")))))
     joined = images.select("image_id", *[c for c in ("dataset_id",) if c in images.columns]).join(per, "image_id", "left")
     n = F.coalesce("n_boxes", F.lit(0)).cast("long")
     out = joined.withColumn("overlaps", F.coalesce(pairs, F.array())).withColumn("n_boxes", n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.functions.policy import DEFAULT
@@ -90,9 +90,13 @@ def cross_dataset(current: DataFrame, library: DataFrame, threshold: int = DEFAU
 
 
 def earliest_master(rows: DataFrame) -> DataFrame:
-    """Of equal file hashes, the row of the earliest dataset is kept (DOM-106)."""
-    rank = F.row_number().over(Window.partitionBy("file_hash").orderBy("dataset_id", "image_id"))
-    return rows.select("image_id", "dataset_id", "file_hash", (rank == 1).alias("kept"))
+    """Of equal file hashes, the row of the earliest dataset is kept (DOM-106); a missing hash equals nothing.
+
+    The first row of a hash comes from an aggregate, so hashes of many rows cost one row per task.
+    """
+    first = rows.where(F.col("file_hash").isNotNull()).groupBy("file_hash").agg(F.min(F.struct("dataset_id", "image_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("file_hash", "first")
+    kept = F.col("first").isNull() | ((F.col("first.dataset_id") == F.col("dataset_id")) & (F.col("first.image_id") == F.col("image_id")))
+    return rows.join(first, "file_hash", "left").select("image_id", "dataset_id", "file_hash", kept.alias("kept"))
 
 
 def sign_hash(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:

@@ -87,9 +87,13 @@ def top(rows: DataFrame, order: list[Column], k: int) -> DataFrame:
     return rows.orderBy(*order).limit(k)
 
 
+def _shuffled(id_column: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
+
+
 def stratified(rows: DataFrame, by: str, id_column: str, k: int, seed: int = 42) -> DataFrame:
     """Up to k rows a group, by seeded hash order (SRT-06)."""
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(_shuffled(id_column, seed), id_column))
     return rows.withColumn("pick", rank).where(F.col("pick") <= k)
 
 
@@ -165,6 +169,6 @@ def resolution_histogram(images: DataFrame) -> DataFrame:
     return images.groupBy("width", "height").agg(F.count("*").alias("images"))
 
 
-def random_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """n rows in seeded random order (SRT-05); each task keeps n."""
-    return rows.orderBy(F.rand(seed)).limit(n)
+def random_rows(rows: DataFrame, n: int, seed: int, id_column: str) -> DataFrame:
+    """The first n rows by seeded hash of the id (SRT-05), however rows are dealt; each task keeps n."""
+    return rows.orderBy(_shuffled(id_column, seed), id_column).limit(n)
