@@ -264,10 +264,11 @@ def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 
 class Model:
-    """Vocabulary, term weights, the examples' postings (example, term, weight), labels and ids, and the calibration."""
+    """Vocabulary, term weights, the examples' terms (example, term, occurrences), labels and ids, and the calibration."""
 
-    def __init__(self, terms, weight, postings, toxic, names, share, share_bare=None, knots=np.zeros(0), values=np.zeros(0)):
-        self.terms, self.weight, self.postings, self.toxic, self.names = terms, weight, postings, toxic, names
+    def __init__(self, terms, weight, tally, toxic, names, share, share_bare=None, knots=np.zeros(0), values=np.zeros(0)):
+        self.terms, self.weight, self.toxic, self.names = terms, weight, toxic, names
+        self.tally = tuple(x.astype(np.int32) for x in tally)  # workers get a copy each, so it is kept small
         self.share, self.share_bare, self.knots, self.values = share, share if share_bare is None else share_bare, knots, values
         self.made = None
 
@@ -276,7 +277,8 @@ class Model:
 
     def _parts(self) -> tuple[Vocabulary, BlockMaxIndex]:
         if self.made is None:
-            self.made = Vocabulary(self.terms), BlockMaxIndex(*self.postings, len(self.terms))
+            example, at, n = (x.astype(np.int64) for x in self.tally)
+            self.made = Vocabulary(self.terms), BlockMaxIndex(example, at, weigh(example, at, n, self.weight, len(self.names)), len(self.terms))
         return self.made
 
     def nearest(self, texts: list[bytes], without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -350,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     # at most ``positives`` + ``negatives`` rows; their terms come to the driver, their texts do not
     rows = sorted(map(tuple, one.select("doc_id", "toxic", "text").mapInArrow(_examples, "doc_id long, toxic int, terms binary, counts binary").collect())) if n_yes and n_no else []
     if not any(r[2] for r in rows):  # nothing to learn from
-        return Model(np.zeros(0, np.uint64), np.zeros(0), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.zeros(0), np.zeros(0, np.int64), share)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), [np.zeros(0, np.int64)] * 3, np.zeros(0), np.zeros(0, np.int64), share)
     hashes, n = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in ((2, np.uint64), (3, np.int32)))
     example = np.repeat(np.arange(len(rows)), [len(r[2]) // 8 for r in rows])
     toxic, names = np.array([r[1] for r in rows], np.float64), np.array([r[0] for r in rows], np.int64)
@@ -368,11 +370,12 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     a, b = yes / max(1, toxic.sum()), no / max(1, (1 - toxic).sum())
     uneven = (a - b) * np.log((a + UNSEEN[0]) / (b + UNSEEN[1]))
     weight = (np.log((1 + total) / (1 + df)) + 0.05) * np.maximum(uneven, 0) ** telling
-    x = weigh(example, at, n, weight, len(names))
-    model = Model(terms, weight, (example, at, x), toxic, names, share)
+    held.destroy()
+    model = Model(terms, weight, (example, at, n), toxic, names, share)
     known_weight = np.where(toxic > 0, n_yes / max(1, toxic.sum()), n_no / max(1, (1 - toxic).sum()))
     everywhere = docs.sparkSession.sparkContext.broadcast(model)
     left_out = dict(map(tuple, one.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _left_out(everywhere)(it), "doc_id long, vote double").collect()))
+    everywhere.destroy()
     v = np.array([left_out[i] for i in names.tolist()])
     some = ~np.isnan(v)
     model.share_bare = float(((known_weight * toxic)[~some].sum() + share) / (known_weight[~some].sum() + 1))
