@@ -42,8 +42,10 @@ from quillsieve.llm.words import _VALUE, blocks, mix, release, text_key, weights
 POSITIVES, NEGATIVES, TELLING = 800, 2400, 0.9
 UNSEEN = (1 / 5000, 1 / 8000)  # shares of toxic and other examples that a term is taken to have besides
 STEMS = (4, 5, 6)
-K, BLOCK, AHEAD, THRESHOLD = 15, 64, 4, 0.7
-COLUMNS, BATCH, SLACK = 1024, 64, np.float32(2e-5)  # the slack is more than float32 sums lose
+K, BLOCK, AHEAD, THRESHOLD = 15, 32, 8, 0.7
+COLUMNS, BATCH, SLACK = 4096, 128, np.float32(2e-5)  # the slack is more than float32 sums lose
+PIECE = 400_000  # bytes of text scored at once
+POSTING = np.dtype([("at", np.int32), ("share", np.float32)])  # read as one int64
 
 _LETTER = np.zeros(256, bool)
 _LETTER[128:] = True
@@ -151,8 +153,8 @@ class BlockMaxIndex:
         at = place[example]
         # whole vectors by example
         order = np.lexsort((term, at))
-        self.whole = np.searchsorted(at[order], np.arange(self.size + 1))
-        self.term, self.weight = term[order].astype(np.int32), weight[order]
+        whole = np.searchsorted(at[order], np.arange(1, self.size))
+        self.lists = np.split(term[order].astype(np.int32), whole), np.split(weight[order], whole)
         # the longest lists as columns
         held = np.bincount(term, minlength=terms)
         longest = np.argsort(-held, kind="stable")[:columns]
@@ -166,10 +168,13 @@ class BlockMaxIndex:
         # the others by term and block
         order = np.lexsort((at, term))
         order = order[~wide[order]]
-        term, self.at, self.share = term[order], at[order], weight[order]
-        cut = np.flatnonzero(np.diff(term * (self.blocks + 1) + self.at // block, prepend=-1))
-        self.start = np.append(cut, len(term))
-        self.block, self.most = self.at[cut] // block, np.maximum.reduceat(self.share, cut) if len(cut) else self.share
+        term, at, share = term[order], at[order], weight[order]
+        cut = np.flatnonzero(np.diff(term * (self.blocks + 1) + at // block, prepend=-1))
+        self.start, self.long = cut, np.diff(cut, append=len(term))
+        self.block, self.most = at[cut] // block, np.maximum.reduceat(share, cut) if len(cut) else share
+        postings = np.zeros(len(term), POSTING)
+        postings["at"], postings["share"] = at, share
+        self.postings = postings.view(np.int64)
         self.entries = np.searchsorted(term[cut], np.arange(terms + 1))
         self.read = self.held = 0
 
@@ -197,10 +202,10 @@ class BlockMaxIndex:
         return who, best
 
     def _cosines(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
-        """Whole products with the examples ``some``, summed in the order of their terms."""
-        n = self.whole[some + 1] - self.whole[some]
-        posting = _spread(self.whole[some], n)
-        return np.bincount(np.repeat(np.arange(len(some)), n), query[self.term[posting]] * self.weight[posting], len(some))
+        """Whole products with the examples ``some``, each summed over its terms in one order."""
+        terms, shares = ([whole[i] for i in some] for whole in self.lists)
+        n = np.fromiter(map(len, terms), np.int64, len(terms))
+        return np.add.reduceat(query[np.concatenate(terms)] * np.concatenate(shares), np.cumsum(n) - n)
 
     def _candidates(self, doc, at, weight, rows, k, without) -> list[np.ndarray]:
         """For each text the examples whose product, but for ``SLACK`` of rounding, reaches the k-th best."""
@@ -210,20 +215,20 @@ class BlockMaxIndex:
         dense[doc[wide], column[wide]] = weight[wide]
         doc, at, weight = doc[~wide], at[~wide], weight[~wide]
         n = self.entries[at + 1] - self.entries[at]
-        entry, of = _spread(self.entries[at], n), np.repeat(np.arange(len(at)), n)
-        cell = doc[of] * self.blocks + self.block[entry]
-        bound = np.bincount(cell, weight[of] * self.most[entry], rows * self.blocks).reshape(rows, self.blocks) + dense @ self.dense_most
+        entry, of, share = _spread(self.entries[at], n), np.repeat(doc, n), np.repeat(weight, n)
+        cell = of * self.blocks + self.block[entry]
+        bound = np.bincount(cell, share * self.most[entry], rows * self.blocks).reshape(rows, self.blocks) + dense @ self.dense_most
         score, seen = np.full((rows, self.size), -1, np.float32), np.zeros((rows, self.blocks), bool)
 
         def read(wanted: np.ndarray) -> np.ndarray:
             for b in np.flatnonzero(wanted.any(0)):
                 these = np.flatnonzero(wanted[:, b])
                 score[these, self.edge[b] : self.edge[b + 1]] = dense[these] @ self.dense[b]
-            some = wanted.ravel()[cell]
-            chosen, source = entry[some], of[some]
-            n = self.start[chosen + 1] - self.start[chosen]
-            posting, source = _spread(self.start[chosen], n), np.repeat(source, n)
-            score.ravel()[:] += np.bincount(doc[source] * self.size + self.at[posting], weight[source] * self.share[posting], rows * self.size).astype(np.float32)
+            some = np.flatnonzero(wanted.ravel()[cell])
+            chosen = entry[some]
+            n = self.long[chosen]
+            posting = self.postings[_spread(self.start[chosen], n)].view(POSTING)
+            score.ravel()[:] += np.bincount(np.repeat(of[some] * self.size, n) + posting["at"], np.repeat(share[some], n) * posting["share"], rows * self.size)
             if without is not None:
                 score[self.names[None, :] == without[:, None]] = -1
             seen[wanted] = True
@@ -305,7 +310,7 @@ def _holding(terms: np.ndarray):
         for batch in batches:
             texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
             rows += len(texts)
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, PIECE):
                 total += np.bincount(vocabulary.counts(texts[lo:hi])[1], minlength=len(terms))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], rows))], names=["term", "n"])
@@ -321,7 +326,7 @@ def _left_out(held):
         model = held.value
         for batch in batches:
             texts, own = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], np.searchsorted(model.names, batch.column(0).to_numpy())
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, PIECE):
                 v = vote(*model.nearest(texts[lo:hi], own[lo:hi]), model.toxic)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(v)], names=["doc_id", "vote"])
         release()
@@ -391,7 +396,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, PIECE):
                 score, who, cosine = held.value.score(texts[lo:hi])
                 near = [[int(i) for i in w if i >= 0][:3] for w in who]
                 yield pa.RecordBatch.from_arrays([
