@@ -252,7 +252,7 @@ def fingerprint_rows(docs: DataFrame, parts: int | None = None) -> DataFrame:
     placed = source.withColumn("p", part_of(order)).withColumn("c", copy_to(order))
     own, copy = F.struct("p", F.lit(0).alias("kind")), F.struct(F.col("c").alias("p"), F.lit(1).alias("kind"))
     dealt = placed.select(F.explode(F.when(F.col("c") >= 0, F.array(own, copy)).otherwise(F.array(own))).alias("at"), "doc_id", "text")
-    dealt = dealt.select("at.p", "at.kind", "doc_id", "text").repartition(len(heads), "p")
+    dealt = dealt.select("at.p", "at.kind", "doc_id", "text").repartitionById(len(cuts) + 1, "p")  # a range a task
     return dealt.sortWithinPartitions("p", "kind", F.asc_nulls_first("doc_id"), "text").mapInArrow(_rows, _SCHEMA)
 
 
