@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from quillsieve.llm.words import release, text_key
 from quillsieve.plans.cut import scratch, written
 
 WINDOW, MEAN_LINES, MOST_LINES = 2, 3, 64
-SMALL_ROWS = 400_000  # lists of so many positions in all at most are broadcast, 24 bytes each
+MOST_BITS = 1 << 27  # of the bitmap that is broadcast, 16 MB
 _M = (1 << 64) - 1
 
 
@@ -120,9 +121,27 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _sized(lists: DataFrame, column: str) -> DataFrame:
-    """``lists`` for a join: to be broadcast only if its lists were counted to hold few positions in all."""
-    return F.broadcast(lists) if (lists.agg(F.sum(F.size(column))).first()[0] or 0) <= SMALL_ROWS else lists
+def _listed(lists: DataFrame):
+    """A test of (doc_id, key): true for every text in ``lists`` and for few others, so that only such texts are shuffled for a join.
+
+    A bitmap of 16 bits a listed text, at most ``MOST_BITS``; beyond that more
+    texts pass it than need to, and the join behind it is exact anyway.
+    """
+    bits = min(MOST_BITS, max(1 << 15, 1 << (16 * lists.count()).bit_length()))
+    place = lambda doc_id, key: F.pmod(F.xxhash64(doc_id, key), F.lit(bits))
+    spots = lists.select(place(F.col("doc_id"), F.col("key")).alias("spot"))
+    parts = spots.groupBy(F.expr("spot div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("spot") % 32768).alias("bitmap"))
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for part, some in parts.collect():  # bits / 32768 rows of 4096 bytes at most
+        bitmap[part * 4096 : part * 4096 + 4096] = np.frombuffer(some, np.uint8)
+    held = lists.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf("boolean")
+    def among(spot: pa.Array) -> pa.Array:
+        at = spot.to_numpy(zero_copy_only=False)
+        return pa.array((held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return lambda doc_id, key: among(place(doc_id, key))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -137,7 +156,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         is_first = (F.col("doc_id") == F.col("owner")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))
         marks = held.join(first, "hash").select("doc_id", "key", "at", "hash", is_first.alias("first"))
         marks = written(marks.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "hash", "first")).alias("marks")), "marks")
-        bytes_ = texts.join(_sized(marks, "marks"), ["doc_id", "key"]).select("doc_id", "key", "text", "marks")
+        bytes_ = texts.where(_listed(marks)(F.col("doc_id"), F.col("key"))).join(marks.hint("merge"), ["doc_id", "key"]).select("doc_id", "key", "text", "marks")
         bytes_ = written(bytes_.mapInArrow(_picked, "doc_id long, key long, at long, hash long, first boolean, chunk binary"), "chunk-bytes")
         owners = written(bytes_.where("first").select("hash", F.col("chunk").alias("owned")).dropDuplicates(["hash"]), "chunk-owners")
         rest = bytes_.where("not first").join(owners, "hash").where("chunk = owned").select("doc_id", "key", "at")
@@ -156,12 +175,19 @@ def line_deduplicated(docs: DataFrame) -> DataFrame:
         release()
         return pa.array(out, pa.string())
 
-    gone = repeated_chunks(docs).select(F.col("doc_id").alias("gone_id__"), F.col("key").alias("gone_key__"), F.col("gone").alias("gone__"))
-    joined = docs.join(_sized(gone, "gone__"), (F.col("doc_id").cast("long") == F.col("gone_id__")) & (text_key(F.col("text")) == F.col("gone_key__")), "left")
+    gone = repeated_chunks(docs)
+    doc_id, key = F.col("doc_id").cast("long"), text_key(F.col("text"))
+    listed = _listed(gone)(doc_id, key)
+    gone = gone.select(F.col("doc_id").alias("gone_id__"), F.col("key").alias("gone_key__"), F.col("gone").alias("gone__"))
+    joined = docs.where(listed).join(gone.hint("merge"), (doc_id == F.col("gone_id__")) & (key == F.col("gone_key__")), "left")
     joined = joined.withColumn("cut__", cut(F.when(F.col("gone__").isNotNull(), F.col("text").cast("string")), F.col("gone__")))
-    text = F.when(F.col("gone__").isNotNull(), F.col("cut__")).otherwise(F.col("text"))
-    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "chunks_removed"]
-    return joined.select(*columns, F.coalesce(F.size("gone__"), F.lit(0)).cast("long").alias("chunks_removed"))
+    changed = F.when(F.col("gone__").isNotNull(), F.col("cut__")).otherwise(F.col("text").cast("string"))
+
+    def columns(text, removed):
+        return [*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "chunks_removed"), removed.cast("long").alias("chunks_removed")]
+
+    rest = docs.where(~listed).select(*columns(F.col("text").cast("string"), F.lit(0)))
+    return joined.select(*columns(changed, F.coalesce(F.size("gone__"), F.lit(0)))).union(rest)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
