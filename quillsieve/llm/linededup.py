@@ -109,15 +109,28 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-        rows = []
-        for doc_id, key, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
-            lines = (text or b"").split(b"\n")
-            found = dict(seeds(lines))
-            rows += [(doc_id, key, m["at"], m["hash"], m["first"], b"\n".join(lines[m["at"] : found[m["at"]]])) for m in marks]
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "key", "at", "hash", "first", "chunk"])
+    names = ["doc_id", "key", "at", "hash", "first", "chunk"]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+
+    def flush(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+
+    for batch in batches:
+        rows, size = [], 0
+        for i in range(batch.num_rows):  # one text at a time, as some are very long
+            doc_id, key, marks = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(3)[i].values
+            lines = (batch.column(2)[i].as_buffer() or pa.py_buffer(b"")).to_pybytes().split(b"\n")
+            for at, mark, first in zip(*(marks.field(f).to_numpy(zero_copy_only=False) for f in ("at", "hash", "first"))):
+                end = int(at) + 1
+                while not lines[end].strip():
+                    end += 1
+                rows.append((doc_id, key, at, mark, first, b"\n".join(lines[at : end + 1])))
+                size += len(rows[-1][-1])
+                if size >= 1 << 22 or len(rows) >= 10_000:
+                    yield flush(rows)
+                    rows, size = [], 0
+        if rows:
+            yield flush(rows)
     release()
 
 

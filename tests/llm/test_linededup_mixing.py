@@ -163,3 +163,16 @@ def test_topics_may_be_given_and_tokens_are_near_the_tokenizers(spark):
 
 def test_mixing_empty(spark):
     assert mixing.sampled_documents(_docs(spark).where("doc_id = -5")).count() == 0
+
+
+def test_listed_passes_all_listed_texts(spark):
+    from pyspark.sql import functions as F
+
+    from quillsieve.llm.linededup import _listed
+
+    every = spark.range(20_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("key"))
+    among = _listed(every.where("doc_id % 10 = 3"))
+    hit = {r.doc_id for r in every.where(among(F.col("doc_id"), F.col("key"))).collect()}
+    assert hit >= set(range(3, 20_000, 10)) and len(hit) < 2_000 + 0.1 * 18_000
+    none = _listed(every.where("doc_id < 0"))
+    assert every.where(none(F.col("doc_id"), F.col("key"))).count() == 0
