@@ -1,3 +1,4 @@
+from quillsieve import catalog
 from quillsieve.operators import audit, dedup, scoring, stats
 
 
@@ -20,3 +21,23 @@ def test_audit_reasons_lower_the_first_score(spark):
 def test_random_rows_do_not_depend_on_partitions(spark):
     rows = spark.range(1000)
     assert {r.id for r in stats.random_rows(rows.repartition(7), 20, 1, "id").collect()} == {r.id for r in stats.random_rows(rows.coalesce(1), 20, 1, "id").collect()}
+
+
+def test_coco_parse_reads_one_text_of_each_document(spark, monkeypatch):
+    def mixed(batches):  # rows arrive in another order each time they are read
+        import os
+
+        import numpy as np
+
+        for b in batches:
+            yield b.take(np.random.default_rng(int.from_bytes(os.urandom(4))).permutation(b.num_rows))
+
+    rows = [(i, i % 15, 0.5, 0.5, 0.25, 0.1) for i in range(7, 120_000, 50)]
+    boxes = spark.createDataFrame(rows, "image_id long, class_idx int, xc double, yc double, w double, h double")
+    monkeypatch.setattr(catalog.Source, "boxes", boxes.mapInArrow(mixed, boxes.schema), raising=False)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = catalog.QUERIES["coco_parse"](spark, "").collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert sorted((r.file_name, r.class_name, r.boxes, r.sum_w) for r in got) == sorted((f"{i}.jpg", str(c), 1, 0.25) for i, c, *_ in rows)
