@@ -1,3 +1,8 @@
+import os
+
+import numpy as np
+import pytest
+
 from quillsieve import catalog
 from quillsieve.operators import audit, dedup, scoring, stats
 
@@ -25,10 +30,6 @@ def test_random_rows_do_not_depend_on_partitions(spark):
 
 def test_coco_parse_reads_one_text_of_each_document(spark, monkeypatch):
     def mixed(batches):  # rows arrive in another order each time they are read
-        import os
-
-        import numpy as np
-
         for b in batches:
             yield b.take(np.random.default_rng(int.from_bytes(os.urandom(4))).permutation(b.num_rows))
 
@@ -41,3 +42,19 @@ def test_coco_parse_reads_one_text_of_each_document(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
     assert sorted((r.file_name, r.class_name, r.boxes, r.sum_w) for r in got) == sorted((f"{i}.jpg", str(c), 1, 0.25) for i, c, *_ in rows)
+
+
+@pytest.mark.parametrize("threshold", [12, 16])
+def test_near_pairs_compares_blocks_where_bands_are_narrow(spark, monkeypatch, threshold):
+    rng = np.random.default_rng(3)
+    codes = rng.integers(-(2**63), 2**63, 700)
+    flips = np.array([np.bitwise_or.reduce(np.int64(1) << rng.permutation(64)[:k].astype(np.int64)) for k in rng.integers(1, 20, 700)])
+    codes = [int(c) for c in np.concatenate([codes, codes ^ flips, codes[:50], [0, -1, 1, -(2**63)]])]
+    rows = [(k, c) for k, c in enumerate(codes)] + [(3, codes[3]), (3, codes[3 + 700]), (None, codes[5]), (9000, None)]  # an id twice, with one hash and another
+    whole = [(i, c) for i, c in rows if i is not None and c is not None]
+    want = sorted((i, j, d) for i, a in whole for j, b in whole if i < j and (d := ((a ^ b) & (2**64 - 1)).bit_count()) <= threshold)
+    monkeypatch.setattr(dedup, "BLOCK", 200, raising=False)
+    got = dedup.near_pairs(spark.createDataFrame(rows, "id long, bits long").repartition(3), "id", "bits", threshold)
+    assert "band" not in got._jdf.queryExecution().toString()  # 64 / 13 bits: hashes that share a band are strangers
+    assert sorted((r.id_a, r.id_b, r.distance) for r in got.collect()) == want
+    assert len(want) > 300 and dedup.near_pairs(spark.createDataFrame([], "id long, bits long"), "id", "bits", threshold).count() == 0
