@@ -3,7 +3,7 @@
 The tokenizer file splits at white space before it applies its merges, so a
 text's ids are those of its white-space-separated words in order.  Each Python
 worker keeps a bounded table word -> ids; the words a batch brings anew are
-merged all at once as numpy matrices, one matrix per byte length.  Words with
+merged as numpy matrices, a block of words of about one length each.  Words with
 special-token strings, very long words and files of any other make go through
 the ``tokenizers`` library itself.
 """
@@ -13,15 +13,17 @@ from __future__ import annotations
 import json
 import unicodedata
 from functools import cached_property
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import regex
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed: the file's own split pattern
 LONGEST = 48
-CACHED_WORDS = 100_000
+CACHED_WORDS = 400_000
+BLOCK = 4096  # pieces that are merged together
 _NONE = np.int32(2**31 - 1)
+_PAST = 2**16 - 1  # stands before a piece's first and after its last id; no vocabulary has it
 
 
 def _byte_letters() -> list[str]:
@@ -44,15 +46,16 @@ class WordBPE:
         self.fast = (
             model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and kinds == ["NFC", "Replace", "Lowercase"]
             and split["pretokenizers"][0].get("pattern", {}).get("Regex") == PIECES and not model.get("dropout")
+            and len(model["vocab"]) <= _PAST
         )
         if not self.fast:
-            raise ValueError("this file does not split at white space; its texts cannot be encoded word by word")
+            raise ValueError("this file does not split at white space or has too many ids; its texts cannot be encoded word by word")
         vocab, letters = model["vocab"], _byte_letters()
-        self.middle = np.array([vocab[c] for c in letters], np.int64)
-        self.last = np.array([vocab[c + "</w>"] for c in letters], np.int64)
+        self.middle = np.array([vocab[c] for c in letters], np.uint32)
+        self.last = np.array([vocab[c + "</w>"] for c in letters], np.uint32)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        left, right = (np.array([vocab[p[k]] for p in pairs], np.int64) for k in (0, 1))
-        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        left, right = (np.array([vocab[p[k]] for p in pairs], np.uint32) for k in (0, 1))
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.uint32)
         self.key = (left << 16) | right
         self.slots, self.second = self._tables(self.key)
         self.pattern = regex.compile(PIECES)
@@ -74,7 +77,7 @@ class WordBPE:
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
-        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(12)
 
     def _tables(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A hash table key -> rank; the keys whose slot was taken, sorted, with their ranks."""
@@ -100,58 +103,70 @@ class WordBPE:
                 out.ravel()[miss[found]] = self.second[p[found]]
         return out
 
-    def _merge(self, grid: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Merges rows of equal length together; (row numbers, ids) of each final width."""
-        rows, done = np.arange(len(grid)), []
-        ranks = self._ranks(grid[:, :-1], grid[:, 1:])
-        while grid.shape[1] > 1 and len(grid):
-            where = ranks.argmin(1)
-            best = ranks[np.arange(len(grid)), where]
-            live = best < _NONE
-            if not live.all():
-                done.append((rows[~live], grid[~live]))
-                grid, ranks, rows, where, best = grid[live], ranks[live], rows[live], where[live], best[live]
-                if not len(grid):
-                    break
-            n, width = grid.shape
-            each = np.arange(n)
-            grid[each, where] = self.made[best]
-            grid = grid[np.arange(width)[None, :] != (where + 1)[:, None]].reshape(n, width - 1)
-            if width == 2:
+    def _merge(self, grid: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges columns of ``sizes`` letters each; the numbers of ids left, and the ids column by column.
+
+        Ids stay in their rows and know the rows before and after them; the
+        grid's last row is past every column's end. ``order`` holds rank and row
+        of each pair by its left id, so a column's least is its next merge.
+        """
+        past, n = len(grid) - 1, grid.shape[1]
+        row = np.arange(past + 1)[:, None]
+        after = np.where(row + 1 < sizes, row + 1, past).ravel()
+        before = np.repeat(np.where(row, row - 1, past), n)
+        order = np.full(grid.shape, _NONE)
+        ranks = self._ranks(grid[:-1], grid[1:])
+        np.copyto(order[:-1], ranks << 6 | row[:-1].astype(np.int32), where=ranks < _NONE)
+        gone = np.arange(past + 1)[:, None] >= sizes
+        flat, dead, least = grid.ravel(), gone.ravel(), order.ravel()  # views
+        while past > 1:
+            best = order.min(0)
+            column = np.flatnonzero(best < _NONE)
+            if not len(column):
                 break
-            ranks = ranks[np.arange(width - 1)[None, :] != where[:, None]].reshape(n, width - 2)
-            for shift in (-1, 0):
-                at = where + shift
-                ok = np.flatnonzero((at >= 0) & (at < width - 2))
-                ranks[ok, at[ok]] = self._ranks(grid[ok, at[ok]], grid[ok, at[ok] + 1])
-        if len(grid):
-            done.append((rows, grid))
-        return done
-
-    def pieces_ids(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that need no further splitting (lower-case UTF-8)."""
-        out: list = [None] * len(pieces)
+            best = best[column]
+            here = (best & 63) * n + column
+            right = after[here] * n + column
+            merged = self.made[best >> 6]
+            flat[here], least[right], dead[right] = merged, _NONE, True
+            beyond, left = after[right], before[here]
+            after[here] = beyond
+            beyond, ahead = beyond * n + column, left * n + column
+            before[beyond] = best & 63
+            ranks = self._ranks(np.concatenate([merged, flat[ahead]]), np.concatenate([flat[beyond], merged]))
+            rows = np.concatenate([best & 63, left.astype(np.int32)])
+            least[np.concatenate([here, ahead])] = np.where(ranks < _NONE, ranks << 6 | rows, _NONE)
+        kept = ~gone.T
+        return kept.sum(1), grid.T[kept]
+
+    def pieces_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces that need no further splitting (lower-case UTF-8): where each one's begin, how many they are, all ids."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         data = np.frombuffer(b"".join(pieces), np.uint8)
         starts = np.cumsum(sizes) - sizes
-        for size in np.unique(sizes):
-            which = np.flatnonzero(sizes == size)
-            if size > LONGEST:
-                letters = _byte_letters()
-                for i in which:
-                    out[i] = np.array([t.id for t in self.whole.model.tokenize("".join(letters[b] for b in pieces[i]))], np.int32)
-                continue
-            raw = data[starts[which][:, None] + np.arange(size)[None, :]]
-            grid = self.middle[raw]
-            grid[:, -1] = self.last[raw[:, -1]]
-            if size == 1:
-                for i, ids in zip(which.tolist(), grid.astype(np.int32)):
-                    out[i] = ids
-                continue
-            for rows, ids in self._merge(grid):
-                for i, x in zip(which[rows].tolist(), ids.astype(np.int32)):
-                    out[i] = x
-        return out
+        by_size = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[by_size], LONGEST, "right"))
+        begin, count, found, total = np.empty_like(sizes), np.empty_like(sizes), [], 0
+
+        def put(which: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+            nonlocal total
+            begin[which], count[which] = total + np.cumsum(own) - own, own
+            found.append(ids)
+            total += len(ids)
+
+        for at in range(0, short, BLOCK):
+            which = by_size[at : min(at + BLOCK, short)]
+            size = sizes[which]
+            row = np.arange(int(size[-1]) + 1)[:, None]
+            grid = self.middle[data[np.minimum(starts[which] + row, len(data) - 1)]]
+            grid[row >= size] = _PAST
+            grid[size - 1, np.arange(len(which))] = self.last[data[starts[which] + size - 1]]
+            put(which, *self._merge(grid, size))
+        letters = _byte_letters()
+        for i in by_size[short:].tolist():
+            ids = np.array([t.id for t in self.whole.model.tokenize("".join(letters[b] for b in pieces[i]))], np.uint32)
+            put(np.array([i]), np.array([len(ids)]), ids)
+        return begin, count, np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
 
     def _learn(self, words: list[bytes]) -> None:
         """Adds words that the table lacks."""
@@ -166,25 +181,21 @@ class WordBPE:
             if not text.isascii() and not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             pieces = text.replace("Σ", "σ").lower().split(" ")
-            count = np.ones(len(words), np.int64)
-            odd = np.flatnonzero(~np.fromiter(map(str.isalpha, pieces), bool, len(pieces)))
-            if len(odd):
-                found = list(map(self.pattern.findall, [pieces[i] for i in odd.tolist()]))
-                count[odd] = np.fromiter(map(len, found), np.int64, len(found))
-                for i, x in zip(odd.tolist(), found):
-                    pieces[i] = x
-                pieces = list(chain.from_iterable([x] if x.__class__ is str else x for x in pieces))
+            plain = list(map(str.isalpha, pieces))
+            odd = [not x for x in plain]
+            found = list(map(self.pattern.findall, compress(pieces, odd)))
+            words = [*compress(words, plain), *compress(words, odd)]
+            parts = np.ones(len(words), np.int64)
+            parts[len(words) - len(found) :] = np.fromiter(map(len, found), np.int64, len(found))
+            pieces = [*compress(pieces, plain), *chain.from_iterable(found)]
             known = dict.fromkeys(pieces)
-            ids = self.pieces_ids(list(map(str.encode, known)))
+            begin, size, ids = self.pieces_ids(list(map(str.encode, known)))
             known = dict(zip(known, range(len(known))))
-            place = np.array(list(map(known.__getitem__, pieces)), np.int64)
-            own = np.fromiter(map(len, ids), np.int64, len(ids))
-            all_ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            part = own[place]
-            upto = np.concatenate([[0], np.cumsum(part)])
-            bounds = np.concatenate([[0], np.cumsum(count)])
-            flat = all_ids[np.repeat((np.cumsum(own) - own)[place] - upto[:-1], part) + np.arange(int(upto[-1]))]
-            self._append(words, upto[bounds[1:]] - upto[bounds[:-1]], flat)
+            place = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            begin, size = begin[place], size[place]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            bounds = upto[np.concatenate([[0], np.cumsum(parts)])]
+            self._append(words, np.diff(bounds), ids[np.repeat(begin - upto[:-1], size) + np.arange(int(upto[-1]))])
         if special:
             got = [np.array(self.whole.encode(w.decode(), add_special_tokens=False).ids, np.int32) for w in special]
             self._append(special, np.fromiter(map(len, got), np.int64, len(got)), np.concatenate(got))
@@ -210,9 +221,9 @@ class WordBPE:
         total = len(words)
         if not total:
             return [np.zeros(0, np.int32)] * len(texts)
-        if len(self.at) > self.cached_words:
+        if len(self.at) > self.cached_words or self.used > 8 * self.cached_words:
             self._clear()
-        index = np.array(list(map(self.at.get, words, repeat(-1))), np.int64)
+        index = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, total)
         lack = np.flatnonzero(index < 0)
         if len(lack):
             new = [words[i] for i in lack.tolist()]

@@ -19,6 +19,38 @@ def test_word_bpe_equals_library():
             assert got.tolist() == bpe.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_word_bpe_equals_library_at_every_length():
+    rng = np.random.default_rng(3)
+    letters = [*"etaoinshrdlu", "é", "ß", "語"]
+    words = ["".join(rng.choice(letters, n)) + end for n in range(1, 60) for end in ("", ",", "'s", "7x")]
+    bpe = WordBPE(default_path(), cached_words=100)
+    for at in range(0, len(words), 90):  # the table is full between batches, by words and by ids
+        part = words[at : at + 90]
+        for word, got in zip(part, bpe.encode([w.encode() for w in part])):
+            assert got.tolist() == bpe.whole.encode(word, add_special_tokens=False).ids
+
+
+def test_words_of_all_lengths_merge_together():
+    rng = np.random.default_rng(4)
+    bpe, calls = WordBPE(default_path()), []
+    ranks = bpe._ranks
+    bpe._ranks = lambda a, b: calls.append(a.size) or ranks(a, b)
+    text = " ".join("".join(rng.choice([*"etaoinshrdlu"], n)) for n in range(2, 49))
+    assert bpe.encode([text.encode()])[0].tolist() == bpe.whole.encode(text, add_special_tokens=False).ids
+    assert len(calls) < 48  # one look-up a merge of the longest word, not of every length
+
+
+def test_table_holds_the_words_of_a_task():
+    bpe, learned = WordBPE(default_path()), []
+    learn = bpe._learn
+    bpe._learn = lambda words: learned.append(len(words)) or learn(words)
+    texts = [" ".join(f"{a}{b}{c}{d}" for b in "etaoinshrd" for c in "etaoinshrd" for d in "etaoinshrdlucmfwypvb").encode() for a in map(chr, range(0x4E00, 0x4E00 + 75))]
+    for _ in range(2):
+        for at in range(0, len(texts), 15):
+            bpe.encode(texts[at : at + 15])
+    assert sum(learned) == 150_000  # each word once
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_pack_round_trip(spark, partitions):
     rng = np.random.default_rng(5)
